@@ -9,24 +9,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
-_SPECIAL = r"(?i)^\s*[+-]?(nan|inf|infinity)\s*$"
-_TIMESTAMP = r"^\s*[0-9]{1,6}-[0-9]{1,2}-[0-9]{1,2}([ T].*)?$"
-_INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
+_NUMBER = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
+_NUMBER_OR_SPECIAL = _NUMBER + r"|^\s*[+-]?(?i:nan|inf|infinity)\s*$"
+_FULL_DATE = r"^\s*[0-9]{1,6}-[0-9]{1,2}-[0-9]{1,2}(?:[ T]|$)"
 
 
 def safe_double(text: Column) -> Column:
-    return F.when(text.rlike(_NUMBER) | text.rlike(_SPECIAL), text.try_cast("double"))
+    return F.when(text.rlike(_NUMBER_OR_SPECIAL), text.try_cast("double"))
 
 
 def safe_int(text: Column) -> Column:
     """Whole numbers directly; decimal and exponent forms are rounded half away from zero and range-checked."""
-    number = F.when(text.rlike(_NUMBER), text.try_cast("double"))
-    rounded = F.signum(number) * F.floor(F.abs(number) + F.lit(0.5))
-    via_double = F.when(rounded.between(_INT_MIN, _INT_MAX), rounded.cast("int"))
-    return F.coalesce(text.try_cast("int"), via_double)
+    rounded = F.round(F.when(text.rlike(_NUMBER), text.try_cast("double")), 0)
+    return F.coalesce(text.try_cast("int"), rounded.try_cast("int"))
 
 
 def safe_timestamp(text: Column) -> Column:
     """A zone-free timestamp; the text must carry at least a full date."""
-    return F.when(text.rlike(_TIMESTAMP), text.try_cast("timestamp_ntz"))
+    return F.when(text.rlike(_FULL_DATE), text.try_cast("timestamp_ntz"))

@@ -3,11 +3,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The marks stripped from both ends of a word, and every character that separates words.
+# The marks stripped from both ends of a word, and the characters that separate words, which are all of
+# Unicode's white space and four separators beside it.
 MARKS = ".,!?;:'\"()-"
-SPACE_CLASS = (
-    r"[\s\x0B\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-)
+_SPACES = r"[\s\x1C-\x1F]+"
 
 
 def clean(text: Column) -> Column:
@@ -29,7 +28,7 @@ def cased(text: Column, renamed: dict[str, str]) -> Column:
 
 def strip_space(text: Column) -> Column:
     """Every kind of white space off both ends, not only spaces."""
-    return F.regexp_replace(text, f"^{SPACE_CLASS}+|{SPACE_CLASS}+$", "")
+    return F.regexp_replace(text, f"(?U)^{_SPACES}|{_SPACES}$", "")
 
 
 def strip_marks(word: Column) -> Column:
@@ -38,7 +37,12 @@ def strip_marks(word: Column) -> Column:
 
 def words(text: Column) -> Column:
     """The words of a text as an array, split at any white space; no empty words."""
-    return F.filter(F.split(text, f"{SPACE_CLASS}+"), lambda w: F.length(w) > 0)
+    return F.filter(split_words(text), lambda w: F.length(w) > 0)
+
+
+def split_words(text: Column) -> Column:
+    """As `words`, but white space at either end of the text leaves an empty word there."""
+    return F.split(text, f"(?U){_SPACES}")
 
 
 def part_before(text: Column, mark: str) -> Column:

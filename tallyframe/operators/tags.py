@@ -48,22 +48,25 @@ def has_permission(users: DataFrame, roles: DataFrame, user: str, role: str, per
     return joined.select(user, role, answer.alias("allowed"))
 
 
+def _permissions_of(roles: DataFrame, role: str, name: str) -> Column:
+    """One role's permissions as a scalar subquery; a role nobody defined has none."""
+    own = roles.where(F.col(role) == name).agg(F.max("permissions").alias("p"))
+    return F.coalesce(own.scalar(), F.array().cast("array<string>"))
+
+
 def combined_permissions(users: DataFrame, roles: DataFrame, role: str, extra: str) -> DataFrame:
     """Every user's permissions once the extra role is added, as a sorted array; unknown roles grant nothing."""
-    own, more = roles.select(role, "permissions"), roles.select(F.col(role).alias("_e"), F.col("permissions").alias("_p"))
-    none = F.array().cast("array<string>")
-    joined = users.join(own, role, "left").join(more, F.col("_e") == F.lit(extra), "left")
-    both = F.array_union(F.coalesce("permissions", none), F.coalesce("_p", none))
-    return joined.select(*users.columns, F.array_sort(both).alias("combined"))
+    joined = users.join(roles.select(role, "permissions"), role, "left")
+    own = F.coalesce("permissions", F.array().cast("array<string>"))
+    both = F.array_union(own, _permissions_of(roles, role, extra))
+    return joined.select(*users.columns, F.sort_array(both).alias("combined"))
 
 
 def compare_with_role(roles: DataFrame, role: str, base: str) -> DataFrame:
     """Every role with its permissions beyond those of a base role and those it shares with it, as sorted arrays."""
-    own = roles.select(F.col(role).alias("_b"), F.col("permissions").alias("_p")).where(F.col("_b") == base)
-    joined = roles.select(role, "permissions").join(own, F.col("_b") == F.lit(base), "left")
-    reference = F.coalesce("_p", F.array().cast("array<string>"))
-    return joined.select(
+    reference = _permissions_of(roles, role, base)
+    return roles.select(
         role,
-        F.array_sort(F.array_except("permissions", reference)).alias("beyond"),
-        F.array_sort(F.array_intersect("permissions", reference)).alias("shared"),
+        F.sort_array(F.array_except("permissions", reference)).alias("beyond"),
+        F.sort_array(F.array_intersect("permissions", reference)).alias("shared"),
     )

@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.functions.text import strip_marks, words
+from tallyframe.functions.text import split_words, strip_marks
 
 
 def token_counts(df: DataFrame, text: str, normalised: bool = False) -> DataFrame:
     """How often each word occurs; normalised means lower case with the marks off both ends."""
-    found = df.select(F.explode(words(F.col(text))).alias("token"))
+    source = F.lower(text) if normalised else F.col(text)
+    token = F.col("token")
+    found = df.select(F.explode(split_words(source)).alias("token"))
     if normalised:
-        found = found.select(strip_marks(F.lower("token")).alias("token")).where(F.length("token") > 0)
-    return found.groupBy("token").agg(F.count(F.lit(1)).alias("times"))
+        found = found.select(strip_marks(token).alias("token"))
+    return found.where(F.length("token") > 0).groupBy("token").agg(F.count(F.lit(1)).alias("times"))
 
 
 def words_once(df: DataFrame, text: str) -> DataFrame:

@@ -7,14 +7,18 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions import collections as c
 from tallyframe.functions import distance_from_origin, part_before, words
-from tallyframe.functions.text import MARKS, SPACE_CLASS
+from tallyframe.functions.text import MARKS
 from tallyframe.operators import aggregates, tags, tokens
 from tallyframe.sources.delimited import parse_delimited
 from tallyframe.suite.registry import query, table
 
 # -- words ------------------------------------------------------------------------------------------------------------
 
-_SPLIT = f"list_filter(regexp_split_to_array(text, '{SPACE_CLASS}+'), lambda w: length(w) > 0)"
+# the white space of Unicode spelled out, as the SQL engine's own class is narrower
+_SPACES = (
+    r"[\s\x0B\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+)
+_SPLIT = f"list_filter(regexp_split_to_array(text, '{_SPACES}'), lambda w: length(w) > 0)"
 _WORDS = f"select unnest({_SPLIT}) as token from documents"
 _CLEAN = f"select trim(lower(token), '{MARKS.replace(chr(39), chr(39) * 2)}') as token from ({_WORDS})"
 
@@ -80,13 +84,13 @@ with items as (select conv_id, turn, {_SPLIT} as w from conversations),
 edited as (
   select *, list_append(w, 'Stay') as appended, w[:1] || ['Peaches'] || w[2:] as inserted,
          case when len(w) > 1 then [w[-1]] || w[:len(w) - 1] else w end as moved,
-         coalesce(list_position(w, 'the'), 0) as at
+         coalesce(list_position(w, 'the'), 0) as p
   from items
 )
 select conv_id, turn, array_to_string(appended, ' ') as appended, array_to_string(inserted, ' ') as inserted,
        array_to_string(moved, ' ') as moved,
-       array_to_string(case when at > 0 then w[:at - 1] || w[at + 1:] else w end, ' ') as removed,
-       case when at > 0 then cast(at - 1 as bigint) end as found_at,
+       array_to_string(case when p > 0 then w[:p - 1] || w[p + 1:] else w end, ' ') as removed,
+       case when p > 0 then cast(p - 1 as bigint) end as found_at,
        array_to_string(w[greatest(len(w) - 4, 1):], ' ') as last_five,
        array_to_string(list_filter(w, lambda x, i: i % 2 = 1), ' ') as every_second,
        array_to_string(list_reverse(w), ' ') as reversed,
