@@ -65,20 +65,17 @@ def backwards(df: DataFrame, order: str) -> DataFrame:
 
 
 def median_by_position(df: DataFrame, group: list[str], value: str, row_id: str, name: str) -> DataFrame:
-    """Exact median of any number of different values per group: rank the rows, average the one or two in the middle.
+    """Exact median of any number of different values per group: number the rows, average the one or two in the middle.
 
-    See `aggregates.median_of_counts` for the cheaper form when the values repeat a lot.
+    The middle rows are fetched by their number in the whole table, so no join is made on the groups themselves. See
+    `aggregates.median_of_counts` for the cheaper form when the values repeat a lot.
     """
-    order = [F.col(value).asc(), F.col(row_id).asc()]
-    ranked = positions_within(df.where(F.col(value).isNotNull()).select(*group, value, row_id), group, order, "rank")
-    sizes = ranked.groupBy(*group).agg(F.max("rank").alias("size"))
-    rows, ends = ranked.alias("r"), sizes.alias("s")
-    same = [F.col(f"r.`{g}`").eqNullSafe(F.col(f"s.`{g}`")) for g in group]
-    middle = F.col("r.rank").between(F.floor((F.col("s.size") + 1) / 2), F.ceil((F.col("s.size") + 1) / 2))
-    return (
-        rows.join(ends, same)
-        .where(middle)
-        .select(*[F.col(f"r.`{g}`").alias(g) for g in group], F.col(f"r.`{value}`").alias(value))
-        .groupBy(*group)
-        .agg(((F.min(value) + F.max(value)) / 2).alias(name))
-    )
+    rows = df.where(F.col(value).isNotNull()).select(*group, value, row_id)
+    order = [*[F.col(g).asc_nulls_last() for g in group], F.col(value).asc(), F.col(row_id).asc()]
+    numbered = dense_ids(rows, order, "_n")
+    ends = numbered.groupBy(*group).agg(F.min("_n").alias("lo"), F.max("_n").alias("hi"))
+    half = (F.col("hi") - F.col("lo")) / 2
+    middle = F.array_distinct(F.array(F.col("lo") + F.floor(half), F.col("lo") + F.ceil(half)))
+    wanted = ends.select(*group, F.explode(middle).alias("_n"))
+    found = wanted.join(numbered.select("_n", value), "_n")
+    return found.groupBy(*group).agg(((F.min(value) + F.max(value)) / 2).alias(name))

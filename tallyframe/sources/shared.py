@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_settled: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -36,4 +39,18 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, label)
     df.write.parquet(path)
+    _settled.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def settled_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables settled inside the block when it ends; for a job that has stored its results by then."""
+    kept = len(_settled)
+    try:
+        yield
+    finally:
+        for path in _settled[kept:]:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        del _settled[kept:]
