@@ -41,5 +41,5 @@ def upsert(
         batch = latest_per_key(batch.where(F.col(key).isNotNull()), key, newest)
     if target is None:
         return batch
-    kept = target.join(batch.select(key), key, "left_anti")
+    kept = target.join(batch.select(key), key, "left_anti").select(*target.columns)
     return kept.unionByName(batch, allowMissingColumns=True)

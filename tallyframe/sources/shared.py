@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,8 +21,12 @@ def shared_root(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
-    spark.conf.set(_SETTING, tempfile.mkdtemp(prefix="tallyframe-"))
-    return spark.conf.get(_SETTING)
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tallyframe-")
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
