@@ -15,7 +15,9 @@ _FULL_DATE = r"^\s*[0-9]{1,6}-[0-9]{1,2}-[0-9]{1,2}(?:[ T]|$)"
 
 
 def safe_double(text: Column) -> Column:
-    return F.when(text.rlike(_NUMBER_OR_SPECIAL), text.try_cast("double"))
+    # text ending in a digit can only go wrong by being hexadecimal, so most values need no pattern match
+    plain = F.right(F.rtrim(text), F.lit(1)).between("0", "9") & ~text.contains("x") & ~text.contains("X")
+    return F.when(plain | text.rlike(_NUMBER_OR_SPECIAL), text.try_cast("double"))
 
 
 def safe_int(text: Column) -> Column:
