@@ -22,6 +22,17 @@ def words_once(df: DataFrame, text: str) -> DataFrame:
     return token_counts(df, text).where(F.col("times") == 1)
 
 
+def once_in_order(df: DataFrame, text: str, order: str) -> DataFrame:
+    """Words found exactly once, by first letter; words sharing it keep their order in the texts."""
+    placed = df.select(F.col(order).alias("_text"), F.posexplode(split_words(F.col(text))).alias("_at", "token"))
+    found = placed.where(F.length("token") > 0).groupBy("token").agg(
+        F.count(F.lit(1)).alias("times"), F.min("_text").alias(order), F.min("_at").alias("word_number")
+    )
+    first = F.substring("token", 1, 1)
+    once = found.where(F.col("times") == 1).select(first.alias("first_letter"), "token", order, "word_number")
+    return once.orderBy("first_letter", order, "word_number")
+
+
 def same_count(counts: DataFrame, first: str, second: str) -> DataFrame:
     """One row: how often two words occur and whether that is equally often; an unseen word occurs 0 times."""
     seen = counts.where(F.col("token").isin(first, second)).agg(

@@ -41,5 +41,8 @@ def upsert(
         batch = latest_per_key(batch.where(F.col(key).isNotNull()), key, newest)
     if target is None:
         return batch
-    kept = target.join(batch.select(key), key, "left_anti").select(*target.columns)
+    # Null-safe equality makes no difference to the rows, as NULL keys are left out, but keeps the join's shuffle apart
+    # from the one that reduced the batch; only then can adaptive execution split a key the target holds too often.
+    keys = batch.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"))
+    kept = target.join(keys, target[key].eqNullSafe(keys["_key"]), "left_anti")
     return kept.unionByName(batch, allowMissingColumns=True)

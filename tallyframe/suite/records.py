@@ -38,6 +38,19 @@ def tokens_once(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.words_once(table(spark, sf, "documents"), "text")
 
 
+@query("once_in_order", f"""
+with found as (
+  select doc_id, unnest(regexp_split_to_array(text, '{_SPACES}')) as token,
+         generate_subscripts(regexp_split_to_array(text, '{_SPACES}'), 1) - 1 as word_number
+  from documents
+)
+select token[1:1] as first_letter, token, min(doc_id) as doc_id, min(word_number) as word_number
+from found where length(token) > 0 group by token having count(*) = 1
+""")
+def once_in_order(spark: SparkSession, sf: str) -> DataFrame:
+    return tokens.once_in_order(table(spark, sf, "documents"), "text", "doc_id")
+
+
 @query("top_tokens", f"""
 select token, count(*) as times from ({_CLEAN}) where length(token) > 0 group by 1 order by times desc, token limit 3
 """)
