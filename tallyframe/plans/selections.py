@@ -66,8 +66,5 @@ def trains_by_departure(trains: DataFrame) -> DataFrame:
 def trains_with_period(trains: DataFrame) -> DataFrame:
     """Noon and 17:00 count as afternoon; a train without a departure falls into the last class."""
     departure = F.col("departure")
-    period = (
-        F.when(departure < "12:00", "Morning").when(departure.between("12:00", "17:00"), "Afternoon")
-        .otherwise("Evening")
-    )
+    period = F.when(departure < "12:00", "Morning").when(departure <= "17:00", "Afternoon").otherwise("Evening")
     return trains.withColumn("period", period)

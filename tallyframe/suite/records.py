@@ -214,20 +214,24 @@ def tag_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _roles(spark: SparkSession, sf: str) -> DataFrame:
-    """What each market segment may do. The array holds different priorities only, of which there are five."""
+    """Each market segment may handle the priorities it has filled more orders of than it left open. The array holds
+    different priorities only, of which there are five."""
     customers = table(spark, sf, "customer").select("c_custkey", F.col("c_mktsegment").alias("role"))
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_orderpriority").alias("permission"))
-    seen = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).groupBy("role", "permission").agg(
-        F.max_by("o_orderkey", "o_orderkey").alias("latest")
+    orders = table(spark, sf, "orders").select(
+        "o_custkey", "o_orderstatus", F.col("o_orderpriority").alias("permission")
     )
-    allowed = F.pmod(F.col("latest"), F.lit(3)) != 0
-    return seen.where(allowed).groupBy("role").agg(F.array_sort(F.collect_set("permission")).alias("permissions"))
+    counted = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).groupBy("role", "permission").agg(
+        F.count_if(F.col("o_orderstatus") == "F").alias("filled"), F.count_if(F.col("o_orderstatus") == "O").alias("open")
+    )
+    granted = counted.where("filled > open")
+    return granted.groupBy("role").agg(F.array_sort(F.collect_set("permission")).alias("permissions"))
 
 
 _ROLES_SQL = """
 granted as (
   select c_mktsegment as role, o_orderpriority as permission
-  from customer join orders on o_custkey = c_custkey group by 1, 2 having max(o_orderkey) % 3 <> 0
+  from customer join orders on o_custkey = c_custkey group by 1, 2
+  having count(*) filter (o_orderstatus = 'F') > count(*) filter (o_orderstatus = 'O')
 ),
 users as (select c_custkey as user_id, c_mktsegment as role from customer)"""
 

@@ -35,15 +35,15 @@ _YEARS = range(1995, 2002)
 
 @query("mart_resolution_time", f"""
 with {REQUESTS_SQL},
-relevant as (
+resolved as (
   select community_area, n_name as community_area_name, year(created_date) as y,
          date_diff('hour', created_date, closed_date) / 24.0 as days
   from requests join nation on n_nationkey = community_area
   where closed_date is not null
     and (lower(service_request_type) like '%high%' or lower(service_request_type) like '%urgent%')
 ),
-yearly as (select community_area, community_area_name, y, round(median(days), 1) as d from relevant group by all),
-overall as (select community_area, round(median(days), 1) as d from relevant group by all)
+yearly as (select community_area, community_area_name, y, round(median(days), 1) as d from resolved group by all),
+overall as (select community_area, round(median(days), 1) as d from resolved group by all)
 select cast(y.community_area as bigint) as community_area, community_area_name,
        {", ".join(f'sum(y.d) filter (y = {y}) as "{y}"' for y in _YEARS)},
        any_value(o.d) as overall_median_days
@@ -277,11 +277,16 @@ def ward_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     return history.select("ward", "map_version", VALID_FROM, VALID_TO)
 
 
-@query("scd2_snapshot", """
-with first_state as (select o_orderkey as k, o_orderstatus as s, o_totalprice as p from orders where o_orderkey % 13 <> 0),
+_DEAR, _LATEST = 400_000, datetime(2001, 6, 1)
+
+
+@query("scd2_snapshot", f"""
+with first_state as (
+  select o_orderkey as k, o_orderstatus as s, o_totalprice as p from orders where o_orderdate < timestamp '{_LATEST}'
+),
 second_state as (
-  select o_orderkey as k, case when o_orderkey % 10 = 0 then 'X' else o_orderstatus end as s, o_totalprice + 1 as p
-  from orders where o_orderkey % 11 <> 0
+  select o_orderkey as k, case when o_totalprice > {_DEAR} then 'X' else o_orderstatus end as s, o_totalprice + 1 as p
+  from orders where o_orderstatus <> 'P' or o_orderpriority <> '5-LOW'
 ),
 entries as (
   select f.k, f.s, f.p, timestamp '2002-01-01' as dbt_valid_from,
@@ -296,15 +301,15 @@ select k as sr_id, s as status, p as price, md5(k || '-' || cast(dbt_valid_from
 from entries
 """)
 def scd2_snapshot_query(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders as two daily states: some keys appear, some vanish, some change status, all change an unchecked column."""
-    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    """Orders as two daily states: the latest appear, cheap pending ones vanish, dear ones change status, and all change
+    a column that is not checked."""
     orders = table(spark, sf, "orders")
-    before = orders.where(key % 13 != 0).select(
-        key.alias("sr_id"), status.alias("status"), F.col("o_totalprice").alias("price")
+    key, status, price = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_totalprice")
+    before = orders.where(F.col("o_orderdate") < F.lit(_LATEST).cast("timestamp_ntz")).select(
+        key.alias("sr_id"), status.alias("status"), price.alias("price")
     )
-    after = orders.where(key % 11 != 0).select(
-        key.alias("sr_id"), F.when(key % 10 == 0, "X").otherwise(status).alias("status"),
-        (F.col("o_totalprice") + 1).alias("price"),
+    after = orders.where((status != "P") | (F.col("o_orderpriority") != "5-LOW")).select(
+        key.alias("sr_id"), F.when(price > _DEAR, "X").otherwise(status).alias("status"), (price + 1).alias("price")
     )
     return scd2_snapshot(opened(before, "sr_id", _FIRST), after, "sr_id", ["status"], _SECOND)
 
