@@ -14,7 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 import __spark_entry__ as contract
 from compare import difference, duck
 
-from tallyframe.operators import joins, repeats
+from tallyframe.operators import joins, repeats, upsert
 
 SF = "/root/testdata/sf0.001"
 QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
@@ -90,6 +90,13 @@ def test_hot_key_is_split_in_joins(spark, nothing_is_small):
     assert "skew=true" in plan(joined)
 
 
+def test_hot_key_of_a_target_is_split_in_upserts(spark, nothing_is_small):
+    target = hot_rows(spark)
+    merged = upsert.upsert(target, target.where("id % 500 = 1"), "k", ["id"])
+    merged.collect()
+    assert "skew=true" in plan(merged)
+
+
 def test_hot_instant_is_split_when_flagging(spark, nothing_is_small):
     flagged = repeats.flag_repeats(hot_rows(spark), ["k"], "at", 14, "id", "again")
     assert len(flagged.collect()) == 60_000

@@ -108,6 +108,8 @@ def test_plain_delete_then_insert_keeps_repeats(spark):
 def test_versioned_table(spark, folder):
     table = VersionedTable(spark, f"{folder}/t", "substr(at, 1, 7)")
     assert not table.exists()
+    assert not table.merge(batch(spark, (None, "2024-01-05", 1)), "k", ["at"])
+    assert not table.exists()
     assert table.merge(batch(spark, ("a", "2024-01-05", 1), ("b", "2024-02-01", 1)), "k", ["at"], tag=("s", 0))
     assert table.slots() == ["2024-01", "2024-02"]
     # a batch numbered before or like the last one is ignored
@@ -323,6 +325,15 @@ def test_ingest_runs_once_per_file(spark, folder):
     assert cursors.get("feed") == datetime(2024, 1, 1)
 
 
+def test_backlog_in_several_batches(spark, folder):
+    table, landing = VersionedTable(spark, f"{folder}/raw"), f"{folder}/landing"
+    for run in range(3):
+        land(raw(spark, record(sr_number=f"SR{run}"), record(sr_number="SR9", last_modified_date=f"2023-06-0{run + 1}")).coalesce(1), landing, str(run))
+    ingest_landed(spark, landing, table, None, f"{folder}/checkpoint", source="feed", max_files=1)
+    assert table.version() == 3 and table.applied("feed") == 2
+    assert rows(table.read().select("sr_number")) == [("SR0",), ("SR1",), ("SR2",), ("SR9",)]
+
+
 def test_daily_run(spark, folder):
     landing, root = f"{folder}/landing", f"{folder}/warehouse"
 
