@@ -118,6 +118,7 @@ def test_versioned_table(spark, folder):
     table.merge(batch(spark, ("b", "2024-01-09", 2), ("c", None, 3)), "k", ["at"], tag=("s", 1))
     assert rows(table.read()) == [("a", "2024-01-05", 1), ("b", "2024-01-09", 2), ("c", None, 3)]
     assert table.slots() == ["2024-01", "none"]
+    assert table.slots_since(-1) == ["2024-01", "none"] == table.slots_since(1) and table.slots_since(2) == []
     # a new column appears, older rows lack it; nothing to do for an empty batch
     table.merge(batch(spark, ("d", "2024-03-01", 4)).withColumn("extra", F.lit("x")), "k", ["at"])
     assert not table.merge(batch(spark), "k", ["at"])
