@@ -311,6 +311,10 @@ def test_ingest_runs_once_per_file(spark, folder):
     def run():
         ingest_landed(spark, landing, table, cursors, f"{folder}/checkpoint", source="feed")
 
+    run()
+    os.makedirs(landing)
+    run()
+    assert not table.exists()
     land(raw(spark, record(), record(sr_number="SR2"), record(sr_number="SR2", last_modified_date="2023-06-01", status="Open"),
              record(sr_number=None)).drop("ward"), landing, "1")
     run()
