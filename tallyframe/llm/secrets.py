@@ -149,12 +149,13 @@ def scan(
 ) -> DataFrame:
     """A row per candidate: key, carry, word_no, token_no, token, probability and is_secret.
 
-    Candidates of the training part of the ids, labelled by `label_findings`, train the forest, which then judges every
+    Candidates and their features are stored once, a narrow table, and read for the two classes of the sample and for
+    judging. Candidates of the training part of the ids, labelled by `label_findings`, train the forest, which then judges every
     candidate of every whole text. NULL and empty texts have no candidates; rows without a key are judged and not learnt
     from; repeated rows give repeated findings; ties in the sample go by token and neighbours; a table without
     candidates, or without one class of them, needs no forest; other columns are not read.
     """
-    featured = with_features(candidates(df, [key, *carry], text, path))
+    featured = settle(with_features(candidates(df, [key, *carry], text, path)), "candidates")
     scanner = train(label_findings(featured).where(in_training(F.col(key))), per_class)
     return scanner.judge(featured).select(
         key, *carry, "word_no", "token_no", "token", "probability", (F.col("probability") >= threshold).alias("is_secret"))
