@@ -214,9 +214,47 @@ def _search(rows: DataFrame, size: int, limit: Threshold) -> DataFrame:
     return rows.repartition("task").sortWithinPartitions("task").mapInArrow(run, _LINKS)
 
 
+_SHARING = T.StructType(_LINKS.fields + [T.StructField("k", T.LongType())])
+
+
+def _sharing(keyed: DataFrame) -> DataFrame:
+    """Links a, b between holders of one key, from rows (k, rep): each holder with the first of its key.
+
+    Rows are dealt by ranges of key and holder, so a key that many hold is spread over tasks like any other rows, and move
+    once. Where a key goes on in the next task, its first holder in each task is linked by a small aggregate over two rows
+    a task.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = head = first = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            k, rep = (batch.column(i).to_numpy() for i in range(2))
+            new = np.concatenate([[key is None or k[0] != key], k[1:] != k[:-1]])
+            place = np.maximum.accumulate(np.where(new, np.arange(len(k)), -1))
+            heads = np.where(place >= 0, rep[place], rep[0] if head is None else head)
+            first = (int(k[0]), int(heads[0])) if first is None else first
+            key, head = int(k[-1]), int(heads[-1])
+            pairs = np.unique(np.stack([rep, heads])[:, rep != heads], axis=1)
+            if pairs.size:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(pairs[0]), pa.array(pairs[1]), pa.nulls(pairs.shape[1], pa.int64())], names=_SHARING.names)
+        if first is not None:
+            ends = [first, (key, head)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([h for _, h in ends]), pa.array([h for _, h in ends]), pa.array([k for k, _ in ends])], names=_SHARING.names)
+
+    dealt = keyed.select("k", "rep").repartitionByRange("k", "rep").sortWithinPartitions("k", "rep")
+    found = settle(dealt.mapInArrow(run, _SHARING).distinct(), "sharing")
+    ends = found.where("k is not null").groupBy("k").agg(F.min("a").alias("b"), F.max("a").alias("a")).where("a <> b")
+    over = found.where("k is not null").select("k", "a").join(ends.select("k", "b"), "k").where("a <> b").select("a", "b")
+    return found.where("k is null").select("a", "b").unionAll(over)
+
+
 def similar_components(
     df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90, chunk_rows: int = 2000,
-    chunk_elements: int = 2_000_000, carry: Sequence[str] = (),
+    chunk_elements: int = 2_000_000, broadcast_rows: int = 1_000_000, carry: Sequence[str] = (),
 ) -> DataFrame:
     """key, n_shingles, component_id and the columns to carry, one row per row of `df`.
 
@@ -227,12 +265,15 @@ def similar_components(
     empty table gives no rows. Other columns are not read. Sets are compared by 64-bit hashes of their elements.
 
     1. Equal sets collapse to one representative each, counted in the map tasks first.
-    2. Block keys: linked sets share one, see `block_keys`. Each key keeps its smallest holder; holders that share keys,
-       directly or in a chain, form a block. Nothing of a block is gathered for that.
+    2. Block keys: linked sets share one, see `block_keys`. Holders that share keys, directly or in a chain, form a block.
+       Nothing of a block is gathered for that, and keys move once.
     3. In each block an R-tree over count vectors gives the pairs whose summed coordinate minima reach the needed overlap;
        these are verified on the sets. Pairs already joined are skipped, so a block of n near copies costs about n checks.
     4. A block above `chunk_rows` documents or `chunk_elements` elements is cut into chunks that share a few anchors. Then
        the documents outside the block's largest component are searched against every chunk, so no link is lost.
+
+    Texts are read again for members of blocks only. Up to `broadcast_rows` member ids, eight bytes each, are broadcast to
+    pick those texts before they move.
     """
     limit = Threshold(percent)
     known = settle(fingerprints(df, [key, *carry], text, size, limit).withColumnRenamed(key, "id"), "fingerprints")
@@ -240,8 +281,7 @@ def similar_components(
         known.where("n > 0 and id is not null").groupBy("h1", "h2")
         .agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys")), "classes")
     keyed = classes.select("rep", F.explode("keys").alias("k"))
-    shared = keyed.groupBy("k").agg(F.min("rep").alias("p"), F.count("*").alias("c")).where("c > 1").drop("c")
-    blocks = components(keyed.join(shared, "k").where("rep <> p").select("rep", "p").distinct(), "rep", "p")
+    blocks = components(_sharing(keyed), "a", "b")
 
     sized = blocks.withColumnRenamed("component", "block").join(classes.select("rep", "h1", "h2", "n"), F.col("node") == F.col("rep"))
     heights = settle(sized.groupBy("block").agg(F.count("*").alias("rows"), F.sum("n").alias("elements")), "heights")
@@ -252,6 +292,8 @@ def similar_components(
             F.pmod(F.xxhash64("rep"), chunks).cast("int").alias("chunk"),
             (F.pmod(F.xxhash64("rep", F.lit(1)), F.col("rows")) < _ANCHORS).alias("anchor")), "members")
     texts = df.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+    if (heights.agg(F.sum("rows")).head()[0] or 0) <= broadcast_rows:  # else both sides move, and a large scan gets Spark's own filter
+        texts = texts.join(F.broadcast(members.select("id")), "id", "left_semi")
     every = F.sequence(F.lit(0), F.col("chunks") - 1)
     own = members.withColumn("c", F.explode(F.when(F.col("anchor"), every).otherwise(F.array("chunk"))))
     links = settle(_search(
