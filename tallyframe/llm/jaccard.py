@@ -51,10 +51,11 @@ def _bounds(percent: int, size: int) -> list[int]:
 def block_keys(hashes: np.ndarray, limit: Threshold) -> np.ndarray:
     """64-bit keys of a sorted set, of which two linked, different sets share at least one.
 
-    Linked sets of sizes in classes j and j or j + 1 differ in e elements at most. The hash range is cut into e + 1
-    segments, so at least one segment holds the same elements of both; a key is the class, the segment and a sum over
-    its elements. Each set has keys for its own class and for the class below. Where e is 0, only equal sets link and
-    no key is needed.
+    Linked sets of sizes in classes j and j or j + 1 differ in e elements at most. The hash range is cut into e + 1 + s
+    segments, so at least s + 1 segments hold the same elements of both; a key is the class, the segment and a sum over its
+    elements. Of these, one holds an element unless both sets leave s + 1 segments empty, so only sets that do have keys for
+    empty segments; s is so large that hardly any does, as sets without anything in common would meet there. Each set has
+    keys for its own class and for the class below. Where e is 0, only equal sets link and no key is needed.
     """
     n = len(hashes)
     starts = limit.bounds(1 << (n - 1).bit_length() if n else 1)
@@ -64,13 +65,18 @@ def block_keys(hashes: np.ndarray, limit: Threshold) -> np.ndarray:
     for j in (own, own - 1):
         if j < 0:
             continue
-        segments = limit.differing(starts[j + 1] - 1 + starts[j + 2] - 1) + 1
-        if segments < 2:
+        differing = limit.differing(starts[j + 1] - 1 + starts[j + 2] - 1)
+        if not differing:
             continue
+        empty = (differing + 1) * np.exp(-starts[j] / (differing + 1))
+        spare = int(empty + 4 * empty ** 0.5)
+        segments = differing + 1 + spare
         edges = np.searchsorted((high * np.uint64(segments)) >> np.uint64(32), np.arange(segments + 1, dtype=np.uint64))
         place = np.arange(segments, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(j)
         content = sums[edges[1:]] - sums[edges[:-1]]
-        out.append(mixed(content + mixed(place + (edges[1:] - edges[:-1]).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))))
+        held = edges[1:] - edges[:-1]
+        keys = mixed(content + mixed(place + held.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+        out.append(keys if (held == 0).sum() > spare else keys[held > 0])
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -252,6 +258,19 @@ def _sharing(keyed: DataFrame) -> DataFrame:
     return found.where("k is null").select("a", "b").unionAll(over)
 
 
+def _heights(sized: DataFrame) -> DataFrame:
+    return sized.groupBy("block").agg(F.count("*").alias("rows"), F.sum("n").alias("elements"))
+
+
+def _buckets(keyed: DataFrame, sized: DataFrame) -> DataFrame:
+    """Blocks of the holders of each key in place of a chain of keys; of keys with the same holders, one."""
+    held = settle(keyed.join(sized.drop("block"), "rep"), "held")
+    same = held.groupBy("k").agg(F.count("*").alias("c"), F.sum(F.xxhash64("rep") % (1 << 40)).alias("s"), F.min("rep").alias("m"))
+    kept = same.where("c > 1").groupBy("c", "s", "m").agg(F.min("k").alias("k")).select("k")
+    block = F.struct(F.lit(1).alias("kind"), F.col("k").alias("at")).alias("block")
+    return held.join(kept, "k").select(block, "rep", "h1", "h2", "n")
+
+
 def similar_components(
     df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90, chunk_rows: int = 2000,
     chunk_elements: int = 2_000_000, broadcast_rows: int = 1_000_000, carry: Sequence[str] = (),
@@ -269,8 +288,10 @@ def similar_components(
        Nothing of a block is gathered for that, and keys move once.
     3. In each block an R-tree over count vectors gives the pairs whose summed coordinate minima reach the needed overlap;
        these are verified on the sets. Pairs already joined are skipped, so a block of n near copies costs about n checks.
-    4. A block above `chunk_rows` documents or `chunk_elements` elements is cut into chunks that share a few anchors. Then
-       the documents outside the block's largest component are searched against every chunk, so no link is lost.
+    4. A block above `chunk_rows` documents or `chunk_elements` elements is mostly a chain, held together by passages that
+       unlike documents share. It is replaced by the buckets of its keys; of keys with the same holders, one is enough.
+    5. A bucket that is still above is cut into chunks that share a few anchors. Then the documents outside the bucket's
+       largest component are searched against every chunk, so no link is lost.
 
     Texts are read again for members of blocks only. Up to `broadcast_rows` member ids, eight bytes each, are broadcast to
     pick those texts before they move.
@@ -283,8 +304,12 @@ def similar_components(
     keyed = classes.select("rep", F.explode("keys").alias("k"))
     blocks = components(_sharing(keyed), "a", "b")
 
-    sized = blocks.withColumnRenamed("component", "block").join(classes.select("rep", "h1", "h2", "n"), F.col("node") == F.col("rep"))
-    heights = settle(sized.groupBy("block").agg(F.count("*").alias("rows"), F.sum("n").alias("elements")), "heights")
+    sized = settle(
+        blocks.join(classes.select("rep", "h1", "h2", "n"), F.col("node") == F.col("rep"))
+        .select(F.struct(F.lit(0).alias("kind"), F.col("component").alias("at")).alias("block"), "rep", "h1", "h2", "n"), "sized")
+    big = _heights(sized).where((F.col("rows") > chunk_rows) | (F.col("elements") > chunk_elements)).select("block")
+    sized = settle(sized.join(big, "block", "left_anti").unionAll(_buckets(keyed, sized.join(big, "block", "left_semi"))), "sized")
+    heights = settle(_heights(sized), "heights")
     chunks = F.greatest(F.ceil(F.col("rows") / chunk_rows), F.ceil(F.col("elements") / chunk_elements)).cast("int")
     members = settle(
         sized.join(heights, "block").select(
@@ -293,7 +318,7 @@ def similar_components(
             (F.pmod(F.xxhash64("rep", F.lit(1)), F.col("rows")) < _ANCHORS).alias("anchor")), "members")
     texts = df.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     if (heights.agg(F.sum("rows")).head()[0] or 0) <= broadcast_rows:  # else both sides move, and a large scan gets Spark's own filter
-        texts = texts.join(F.broadcast(members.select("id")), "id", "left_semi")
+        texts = texts.join(F.broadcast(members.select("id").distinct()), "id", "left_semi")
     every = F.sequence(F.lit(0), F.col("chunks") - 1)
     own = members.withColumn("c", F.explode(F.when(F.col("anchor"), every).otherwise(F.array("chunk"))))
     links = settle(_search(

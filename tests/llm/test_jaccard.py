@@ -1,0 +1,108 @@
+"""The similarity join against a comparison of every pair, also with blocks cut into buckets and chunks."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from tallyframe.llm import jaccard
+from tallyframe.llm.components import components
+
+
+def sets_of(rows, size):
+    out = []
+    for _, text in rows:
+        words = re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        out.append({tuple(words[i:i + size]) for i in range(max(1, len(words) - size + 1))} if words else set())
+    return out
+
+
+def brute(rows, size, percent):
+    """Per row: set size and smallest id reachable, comparing every pair."""
+    sets, top = sets_of(rows, size), list(range(len(rows)))
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and rows[i][0] is not None and rows[j][0] is not None and 100 * len(a & b) >= percent * len(a | b):
+                top[find(i)] = find(j)
+    least = {}
+    for i, (key, _) in enumerate(rows):
+        if key is not None:
+            least[find(i)] = min(least.get(find(i), key), key)
+    return sorted(((key, len(s), None if key is None else least[find(i)]) for i, ((key, _), s) in enumerate(zip(rows, sets))), key=str)
+
+
+def corpus(seed, n=160):
+    """Unlike texts, exact and near copies, chains of copies, a shared passage, short and empty texts."""
+    rng = random.Random(seed)
+    vocabulary = [f"W{i}" for i in range(400)]
+    passage = [f"p{i}" for i in range(30)]
+    texts = []
+    for _ in range(n):
+        kind = rng.random()
+        if texts and kind < 0.45:
+            words = rng.choice(texts[-40:]).split()
+            for _ in range(rng.randrange(3)):
+                if words:
+                    words[rng.randrange(len(words))] = rng.choice(vocabulary)
+            texts.append(" ".join(words))
+        elif kind < 0.55:
+            texts.append(" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(4))))
+        else:
+            words = [rng.choice(vocabulary) for _ in range(rng.randrange(5, 120))]
+            at = rng.randrange(len(words))
+            texts.append(" ".join(words[:at] + (passage if rng.random() < 0.4 else []) + words[at:]))
+    return list(enumerate(texts))
+
+
+def run(spark, rows, size, percent, **options):
+    df = spark.createDataFrame([(k, t, 1) for k, t in rows], "doc_id long, text string, component_id int")
+    found = jaccard.similar_components(df, size=size, percent=percent, **options)
+    return sorted((tuple(r) for r in found.collect()), key=str)
+
+
+@pytest.mark.parametrize(("size", "percent", "options"), [
+    (3, 90, {}), (5, 80, {}), (2, 60, {"chunk_rows": 8}), (5, 80, {"chunk_rows": 4, "broadcast_rows": 0})])
+def test_equals_comparison_of_all_pairs(spark, size, percent, options):
+    rows = corpus(size * percent)
+    assert run(spark, rows, size, percent, **options) == brute(rows, size, percent)
+
+
+def test_edge_rows(spark):
+    rows = [(None, "a b c d"), (3, None), (4, ""), (5, " \t\n"), (9, "a b c d"), (7, "A B C D"), (7, "A B C D"), (1, "one"), (2, "ONE"),
+            (8, "x y z " * 4000), (6, "x y z " * 4000 + "tail")]
+    got = run(spark, rows, 3, 90)
+    assert got == sorted(
+        [(None, 2, None), (3, 0, 3), (4, 0, 4), (5, 0, 5), (9, 2, 7), (7, 2, 7), (7, 2, 7), (1, 1, 1), (2, 1, 1), (8, 3, 8), (6, 4, 6)], key=str)
+
+
+def test_empty_table(spark):
+    assert run(spark, [], 3, 90) == []
+
+
+def test_linked_sets_share_a_key():
+    rng = np.random.default_rng(1)
+    for percent in (60, 80, 90):
+        limit = jaccard.Threshold(percent)
+        for n in [*range(2, 60), 200, 3000]:
+            a = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64) * np.uint64(2))
+            for cut in range(0, n, max(1, n // 7)):
+                b = np.unique(np.concatenate([a[cut:], rng.integers(0, 2 ** 63, rng.integers(0, 2 + n // 5)).astype(np.uint64)]))
+                both = len(np.intersect1d(a, b))
+                if 100 * both >= percent * (len(a) + len(b) - both) and len(a) + len(b) > 2 * both:
+                    assert np.isin(jaccard.block_keys(a, limit), jaccard.block_keys(b, limit)).any()
+
+
+def test_components_of_chains_and_hubs(spark):
+    links = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7), (None, 3), (300, 299)]
+    found = dict(components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect())
+    assert found == {i: 0 for i in range(61)} | {100 + i: 100 for i in range(50)} | {299: 299, 300: 299}
+    assert components(spark.createDataFrame([], "a long, b long"), "a", "b").collect() == []
