@@ -169,8 +169,10 @@ def _digest(hashes: np.ndarray) -> tuple[int, int]:
     return tuple(_signed(mixed(pair + np.uint64(len(hashes)))).tolist())
 
 
-def fingerprints(df: DataFrame, key: Sequence[str], text: str, size: int, limit: Threshold) -> DataFrame:
-    """The key columns, n, two halves of the set's digest, and its block keys, one row per row of `df`."""
+def fingerprints(
+    df: DataFrame, key: str | Sequence[str], text: str, size: int, limit: Threshold, with_keys: bool = True,
+) -> DataFrame:
+    """The key columns, n, two halves of the set's digest, and its block keys or NULL, one row per row of `df`."""
     fields = [T.StructField(n, T.LongType()) for n in ("n", "h1", "h2")] + [T.StructField("keys", T.ArrayType(T.LongType()))]
 
     def setup():
@@ -178,7 +180,7 @@ def fingerprints(df: DataFrame, key: Sequence[str], text: str, size: int, limit:
             rows = []
             for t in texts:
                 s = element_set(t, size)
-                rows.append((len(s), *_digest(s), _signed(block_keys(s, limit))))
+                rows.append((len(s), *_digest(s), _signed(block_keys(s, limit)) if with_keys else None))
             return list(zip(*rows, strict=True))
 
         return work
@@ -297,18 +299,30 @@ def similar_components(
     pick those texts before they move.
     """
     limit = Threshold(percent)
-    known = settle(fingerprints(df, [key, *carry], text, size, limit).withColumnRenamed(key, "id"), "fingerprints")
+    known = settle(fingerprints(df, [key, *carry], text, size, limit, False).drop("keys").withColumnRenamed(key, "id"), "fingerprints")
     classes = settle(
-        known.where("n > 0 and id is not null").groupBy("h1", "h2")
-        .agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys")), "classes")
-    keyed = classes.select("rep", F.explode("keys").alias("k"))
-    blocks = components(_sharing(keyed), "a", "b")
+        known.where("n > 0 and id is not null").groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.first("n").alias("n")), "classes")
+
+    def keyed(rows: DataFrame) -> DataFrame:
+        made = fingerprints(rows, key, text, size, limit).where(f"n > 0 and `{key}` is not null")
+        one = made.groupBy("h1", "h2").agg(F.min(key).alias("rep"), F.first("keys").alias("keys"))
+        return one.select("rep", F.explode("keys").alias("k"))
+
+    def only(rows: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+        """The rows with these ids. Ids up to a bound are broadcast; else both sides move, and a large scan gets Spark's own filter."""
+        few = ids.distinct().withColumnRenamed("id", name)
+        return rows.join(F.broadcast(few) if ids.count() <= broadcast_rows else few, name, "left_semi")
+
+    blocks = components(_sharing(keyed(df)), "a", "b")
 
     sized = settle(
         blocks.join(classes.select("rep", "h1", "h2", "n"), F.col("node") == F.col("rep"))
         .select(F.struct(F.lit(0).alias("kind"), F.col("component").alias("at")).alias("block"), "rep", "h1", "h2", "n"), "sized")
     big = _heights(sized).where((F.col("rows") > chunk_rows) | (F.col("elements") > chunk_elements)).select("block")
-    sized = settle(sized.join(big, "block", "left_anti").unionAll(_buckets(keyed, sized.join(big, "block", "left_semi"))), "sized")
+    if big.limit(1).count():
+        chained = sized.join(big, "block", "left_semi")
+        apart = _buckets(keyed(only(df, chained.select(F.col("rep").alias("id")), key)), chained)
+        sized = settle(sized.join(big, "block", "left_anti").unionAll(apart), "sized")
     heights = settle(_heights(sized), "heights")
     chunks = F.greatest(F.ceil(F.col("rows") / chunk_rows), F.ceil(F.col("elements") / chunk_elements)).cast("int")
     members = settle(
@@ -317,8 +331,7 @@ def similar_components(
             F.pmod(F.xxhash64("rep"), chunks).cast("int").alias("chunk"),
             (F.pmod(F.xxhash64("rep", F.lit(1)), F.col("rows")) < _ANCHORS).alias("anchor")), "members")
     texts = df.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    if (heights.agg(F.sum("rows")).head()[0] or 0) <= broadcast_rows:  # else both sides move, and a large scan gets Spark's own filter
-        texts = texts.join(F.broadcast(members.select("id").distinct()), "id", "left_semi")
+    texts = only(texts, members.select("id"), "id")
     every = F.sequence(F.lit(0), F.col("chunks") - 1)
     own = members.withColumn("c", F.explode(F.when(F.col("anchor"), every).otherwise(F.array("chunk"))))
     links = settle(_search(
