@@ -132,6 +132,9 @@ def _one(data: bytes, start: int, verify: bool) -> tuple[dict, int]:
         if not colon:
             raise Damaged("header line without a colon")
         head[field.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+    for field in ("warc-type", "warc-record-id", "warc-date"):  # the format demands them
+        if not head.get(field):
+            raise Damaged(f"no {field}")
     if not re.fullmatch("[0-9]{1,18}", head.get("content-length", "")):
         raise Damaged("no length")
     first, last = end + 4, end + 4 + int(head["content-length"])
