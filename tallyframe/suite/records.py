@@ -79,9 +79,9 @@ def log_sources(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages").groupBy(host.alias("source")).agg(F.count(F.lit(1)).alias("lines"))
 
 
-@query("log_errors", "select doc_id, source from documents where contains(lower(text), 'error')")
+@query("log_errors", "select event_id, user_id from events where contains(lower(event_type), 'error')")
 def log_errors(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").where(F.lower("text").contains("error")).select("doc_id", "source")
+    return table(spark, sf, "events").where(F.lower("event_type").contains("error")).select("event_id", "user_id")
 
 
 @query("prefix_lookup", "select c_custkey, c_name from customer where starts_with(c_name, 'Customer#0000001')")
@@ -95,7 +95,7 @@ def prefix_lookup(spark: SparkSession, sf: str) -> DataFrame:
 @query("array_edits", f"""
 with items as (select conv_id, turn, {_SPLIT} as w from conversations),
 edited as (
-  select *, list_append(w, 'Stay') as appended, w[:1] || ['Peaches'] || w[2:] as inserted,
+  select *, list_append(w, 'ending') as appended, w[:1] || ['second'] || w[2:] as inserted,
          case when len(w) > 1 then [w[-1]] || w[:len(w) - 1] else w end as moved,
          coalesce(list_position(w, 'the'), 0) as p
   from items
@@ -114,9 +114,9 @@ def array_edits(spark: SparkSession, sf: str) -> DataFrame:
     items = table(spark, sf, "conversations").select("conv_id", "turn", words(F.col("text")).alias("w"))
     w, the = F.col("w"), F.lit("the")
     edits = {
-        "appended": F.array_append(w, F.lit("Stay")),
+        "appended": F.array_append(w, F.lit("ending")),
         # an insert past the end goes to the end, as in a list
-        "inserted": F.when(F.size(w) > 0, c.insert_at(w, 1, F.lit("Peaches"))).otherwise(F.array(F.lit("Peaches"))),
+        "inserted": F.when(F.size(w) > 0, c.insert_at(w, 1, F.lit("second"))).otherwise(F.array(F.lit("second"))),
         "moved": c.last_to_front(w),
         "removed": c.remove_first(w, the),
         "last_five": c.last_items(w, 5),

