@@ -21,8 +21,13 @@ def latest_per_key(df: DataFrame, key: str, newest: list[str] | None = None) ->
 
 
 def keyless(df: DataFrame, key: str) -> DataFrame:
-    """Rows an upsert cannot place."""
-    return df.where(F.col(key).isNull())
+    """Rows an upsert cannot place, as their key is NULL or, where it is text, blank."""
+    return df.where(F.col(key).isNull() | (F.trim(F.col(key).cast("string")) == ""))
+
+
+def keyed(df: DataFrame, key: str) -> DataFrame:
+    """All other rows."""
+    return df.where(F.trim(F.col(key).cast("string")) != "")
 
 
 def upsert(

@@ -13,7 +13,7 @@ def tune(spark: SparkSession) -> None:
 
     HotSpot never compiles a method above 8000 bytes of bytecode, yet by default Spark generates methods of up to
     65535. Above this limit Spark falls back to split, compilable projections, several times faster for wide tables.
-    A limit somebody has set is left alone.
+    `local_session` sets it; a cluster's session is left as it is, so set it there too. A limit somebody has set stays.
     """
     if spark.conf.get(_HUGE_METHOD, "65535") == "65535":
         spark.conf.set(_HUGE_METHOD, "8000")

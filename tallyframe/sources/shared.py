@@ -6,12 +6,14 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-_settled: list[str] = []
+#: Tables settled in the innermost open scope of this thread of work; None outside of any.
+_scope: ContextVar[list[str] | None] = ContextVar("settled", default=None)
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -19,7 +21,8 @@ def shared_root(spark: SparkSession) -> str:
     named = spark.conf.get(_SETTING, None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master  # local-cluster has executors of its own
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
     return _local_folder()
 
@@ -44,18 +47,24 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, label)
     df.write.parquet(path)
-    _settled.append(path)
+    held = _scope.get()
+    if held is not None:
+        held.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def settled_scope(spark: SparkSession) -> Iterator[None]:
-    """Delete the tables settled inside the block when it ends; for a job that has stored its results by then."""
-    kept = len(_settled)
+    """Delete the tables settled inside the block when it ends; for a job that has stored its results by then.
+
+    Only the block's own work counts: other threads keep theirs, unless they run in a copy of the block's context.
+    """
+    held: list[str] = []
+    outer = _scope.set(held)
     try:
         yield
     finally:
-        for path in _settled[kept:]:
+        _scope.reset(outer)
+        for path in held:
             where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-        del _settled[kept:]

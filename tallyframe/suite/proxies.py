@@ -165,7 +165,7 @@ def raw_requests(spark: SparkSession, sf: str, *extra: str) -> DataFrame:
     return orders.selectExpr(*columns, *extra)
 
 
-_RAW_SELECT = ",\n    ".join(_raw_columns("(o_orderdate + to_seconds({secs}))", "strftime({at}, '%Y-%m-%dT%H:%M:%S.%g')"))
+RAW_SELECT = ",\n    ".join(_raw_columns("(o_orderdate + to_seconds({secs}))", "strftime({at}, '%Y-%m-%dT%H:%M:%S.%g')"))
 _TREATED = {
     "as_is": "{c}",
     "text": "trim({c})",
@@ -182,7 +182,7 @@ _STAGED_SELECT = ",\n    ".join(f"{_TREATED[how].format(c='raw.' + raw)} as {nam
 
 STAGED_SQL = f"""
 raw as (
-  select {_RAW_SELECT}
+  select {RAW_SELECT}
   from (select *, o_orderkey as k, o_custkey as c from orders)
 ),
 staged as (

@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.session import tune
-
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -21,7 +19,6 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
             raise ValueError(f"query {name} is registered twice")
 
         def widened(spark: SparkSession, sf_dir: str) -> DataFrame:
-            tune(spark)
             df = run(spark, sf_dir)
             narrow = (T.IntegerType, T.ShortType, T.ByteType)
             columns = {f.name: F.col(f"`{f.name}`").cast("bigint") for f in df.schema if isinstance(f.dataType, narrow)}

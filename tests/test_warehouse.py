@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallyframe.operators import history, quality, upsert
 from tallyframe.plans import dimensions
 from tallyframe.plans.daily import Warehouse, daily_run
-from tallyframe.plans.fact import FACT_COLUMNS, changed_since
+from tallyframe.plans.fact import FACT_COLUMNS, changed_since, not_held
 from tallyframe.plans.staging import RAW_COLUMNS, STAGED_COLUMNS, stage
 from tallyframe.plans.validation import closed_before_created, outside_the_city
 from tallyframe.sources import CursorStore, VersionedTable, as_text_columns, keyset_page, land, scan_landed, settle
@@ -335,7 +335,7 @@ def test_backlog_in_several_batches(spark, folder):
     for run in range(3):
         land(raw(spark, record(sr_number=f"SR{run}"), record(sr_number="SR9", last_modified_date=f"2023-06-0{run + 1}")).coalesce(1), landing, str(run))
     ingest_landed(spark, landing, table, None, f"{folder}/checkpoint", source="feed", max_files=1)
-    assert table.version() == 3 and table.applied("feed") == 2
+    assert table.version() == 3 and list(table._manifest()["applied"].values()) == [2]
     assert rows(table.read().select("sr_number")) == [("SR0",), ("SR1",), ("SR2",), ("SR9",)]
 
 
@@ -415,3 +415,79 @@ def test_backfill_without_a_limit_on_versions(spark):
     assert entries.count() == 10_051 and entries.where("dbt_valid_to is null").count() == 1
     first = entries.where("name = 'first'").head()
     assert first["dbt_valid_from"] is None and str(first["dbt_valid_to"]) == "1990-01-01 00:00:00"
+
+
+def test_a_new_checkpoint_loads_what_landed_since(spark, folder):
+    table, landing = VersionedTable(spark, f"{folder}/raw"), f"{folder}/landing"
+    for day, checkpoint in (("1", "old"), ("2", "new"), ("3", "new")):
+        land(raw(spark, record(sr_number=f"SR{day}")), landing, day)
+        ingest_landed(spark, landing, table, None, f"{folder}/{checkpoint}", source="feed")
+    assert rows(table.read().select("sr_number")) == [("SR1",), ("SR2",), ("SR3",)]
+
+
+def test_rows_without_a_key_are_kept_aside_once(spark, folder):
+    table, lost, landing = VersionedTable(spark, f"{folder}/raw"), VersionedTable(spark, f"{folder}/lost"), f"{folder}/landing"
+    land(raw(spark, record(sr_number=None), record(sr_number=None), record(sr_number="  "), record()).coalesce(1), landing, "1")
+    for checkpoint in ("old", "old", "new"):  # a new checkpoint reads the file again
+        ingest_landed(spark, landing, table, None, f"{folder}/{checkpoint}", source="feed", rejected=lost)
+    assert rows(lost.read().select("sr_number", "copies")) == [("  ", 1), (None, 2)]
+    assert table.count() == 1
+
+
+def test_overlapping_writers_lose_no_update(spark, folder):
+    first, second = VersionedTable(spark, f"{folder}/t"), VersionedTable(spark, f"{folder}/t")
+    first.replace(batch(spark, ("a", "1", 1)))
+    base = second.version()
+    derived = second.read(version=base).withColumn("v", F.col("v") + 10)
+    first.merge(batch(spark, ("b", "1", 1)), "k")
+    with pytest.raises(RuntimeError, match="another writer"):
+        second.replace(derived, base=base)
+    with pytest.raises(RuntimeError, match="another writer"):
+        second.merge(derived, "k", base=base)
+    assert rows(first.read()) == [("a", "1", 1), ("b", "1", 1)]
+    first.vacuum(1)
+    assert rows(first.read()) == [("a", "1", 1), ("b", "1", 1)]
+
+
+def test_scopes_keep_to_themselves(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    from contextvars import copy_context
+
+    with ThreadPoolExecutor(1) as pool:
+        with settled_scope(spark):
+            other = pool.submit(settle, spark.range(3), "other").result()
+            own = pool.submit(copy_context().run, settle, spark.range(4), "own").result()
+            with settled_scope(spark):
+                inner = settle(spark.range(5), "inner")
+            assert own.count() == 4
+            with pytest.raises(Exception, match="(?i)exist"):
+                inner.count()
+        assert other.count() == 3
+        with pytest.raises(Exception, match="(?i)exist"):
+            own.count()
+
+
+def test_late_and_corrected_rows_reach_the_fact(spark, folder):
+    landing, root = f"{folder}/landing", f"{folder}/warehouse"
+
+    def run(now, **options):
+        return daily_run(spark, root, landing, ward_versions(spark), community_areas(spark), now, checked=False, **options)
+
+    land(raw(spark, record(last_modified_date="2023-06-10T00:00:00"), record(sr_number="SR3", last_modified_date=None)), landing, "1")
+    run(T1)
+    # older than the newest row of the fact; corrected at the same time; and without a key
+    land(raw(spark, record(sr_number="SR2", last_modified_date="2023-05-01T00:00:00"),
+             record(status="Open", last_modified_date="2023-06-10T00:00:00"), record(sr_number=None)), landing, "2")
+    report = run(T2)
+    warehouse = Warehouse(spark, root)
+    merged = rows(warehouse.fact.read())
+    assert [(r[0], r[3]) for r in merged] == [("SR1", "open"), ("SR2", "completed"), ("SR3", "completed")]
+    assert report.where("check_name = 'landed.key.present'").first()["failures"] == 1
+    run(T3, full_refresh=True)
+    assert rows(warehouse.fact.read()) == merged
+
+
+def test_nothing_without_a_key_is_missing_from_the_fact(spark):
+    staged = spark.createDataFrame([("a", 1, None), ("b", 2, 5), (None, 3, 5), ("c", None, None)], "sr_id string, x int, y int")
+    fact = spark.createDataFrame([("a", 1, None), ("b", 2, 6)], "sr_id string, x int, y int")
+    assert rows(not_held(staged, fact, columns=["x", "y"]).select("sr_id")) == [("b",), ("c",)]
