@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 # The marks stripped from both ends of a word, and the characters that separate words, which are all of
 # Unicode's white space and four separators beside it.
 MARKS = ".,!?;:'\"()-"
-_SPACES = r"[\s\x1C-\x1F]+"
+_SPACES = r"[\t-\r\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]+"
 
 
 def clean(text: Column) -> Column:
@@ -28,7 +28,7 @@ def cased(text: Column, renamed: dict[str, str]) -> Column:
 
 def strip_space(text: Column) -> Column:
     """Every kind of white space off both ends, not only spaces."""
-    return F.regexp_replace(text, f"(?U)^{_SPACES}|{_SPACES}$", "")
+    return F.regexp_replace(text, f"^{_SPACES}|{_SPACES}$", "")
 
 
 def strip_marks(word: Column) -> Column:
@@ -42,7 +42,7 @@ def words(text: Column) -> Column:
 
 def split_words(text: Column) -> Column:
     """As `words`, but white space at either end of the text leaves an empty word there."""
-    return F.split(text, f"(?U){_SPACES}")
+    return F.split(text, _SPACES)
 
 
 def part_before(text: Column, mark: str) -> Column:

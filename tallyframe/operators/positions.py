@@ -38,10 +38,10 @@ def positions_within(df: DataFrame, group: list[str], order: list[Column], name:
     """Number the rows of each group 1, 2, 3, ...; a group may be larger than any one task could sort.
 
     A row's place in its group is its place in the whole table, ordered by group first, less that of the group's first
-    row. NULL is a group of its own.
+    row. NULL is a group of its own. The groups' first rows are stored, so that the rows stay where they are if these are few.
     """
     numbered = dense_ids(df, [F.col(g).asc_nulls_last() for g in group] + order, name)
-    firsts = numbered.groupBy(*group).agg(F.min(name).alias(_START))
+    firsts = settle(numbered.groupBy(*group).agg(F.min(name).alias(_START)), "group-heads")
     rows, heads = numbered.alias("r"), firsts.alias("h")
     same = [F.col(f"r.`{g}`").eqNullSafe(F.col(f"h.`{g}`")) for g in group]
     return rows.join(heads, same).select(

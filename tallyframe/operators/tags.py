@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyframe.sources.shared import settle
+
 
 def tag_rows(df: DataFrame, item: str, tags: Column) -> DataFrame:
     """Array column to distinct (item, tag) rows."""
@@ -15,10 +17,11 @@ def sharing_with(pairs: DataFrame, item: str, tag: str, target: DataFrame, at_le
     """Other items sharing at least that many tags with the target item, and how many they share.
 
     `target` has the one target item in its `item` column. Work grows with the rows carrying one of the target's tags;
-    items are never compared with each other.
+    items are never compared with each other. The pairs are made distinct and stored first, so what yields them runs once.
     """
-    own = pairs.join(target.select(item), item, "left_semi").select(tag).distinct()
-    others = pairs.select(item, tag).distinct().join(target.select(item), item, "left_anti")
+    distinct, target = settle(pairs.select(item, tag).distinct(), "tag-pairs"), target.select(item)
+    own = distinct.join(target, item, "left_semi").select(tag).distinct()
+    others = distinct.join(target, item, "left_anti")
     shared = others.join(own, tag, "left_semi").groupBy(item).agg(F.count(F.lit(1)).alias("shared_tags"))
     return shared.where(F.col("shared_tags") >= at_least)
 
@@ -28,22 +31,23 @@ def all_tags(pairs: DataFrame, tag: str) -> DataFrame:
 
 
 def tags_on_every_item(pairs: DataFrame, item: str, tag: str) -> DataFrame:
-    """Tags that no item lacks."""
-    distinct = pairs.select(item, tag).distinct()
-    items = pairs.agg(F.count_distinct(item).alias("n"))
+    """Tags that no item lacks. The distinct pairs are stored, as they are counted twice."""
+    distinct = settle(pairs.select(item, tag).distinct(), "tag-pairs")
+    items = distinct.agg(F.count_distinct(item).alias("n"))
     per_tag = distinct.groupBy(tag).agg(F.count(F.lit(1)).alias("n_items"))
     return per_tag.where(F.col("n_items") == items.scalar()).select(tag)
 
 
 def users_with_permission(users: DataFrame, roles: DataFrame, user: str, role: str, permission: str) -> DataFrame:
-    """Users whose role grants the permission. `roles` has one row per role with a `permissions` array."""
-    granting = roles.where(F.array_contains("permissions", permission)).select(role)
+    """Users whose role grants the permission. `roles` has one row per role with a `permissions` array; what is needed of it
+    is stored, so that Catalyst knows its size and moves no users where it is small."""
+    granting = settle(roles.where(F.array_contains("permissions", permission)).select(role), "roles")
     return users.join(granting, role, "left_semi").select(user, role)
 
 
 def has_permission(users: DataFrame, roles: DataFrame, user: str, role: str, permission: str) -> DataFrame:
     """Every user with the answer; a role nobody defined grants nothing."""
-    joined = users.join(roles.select(role, "permissions"), role, "left")
+    joined = users.join(settle(roles.select(role, "permissions"), "roles"), role, "left")
     answer = F.coalesce(F.array_contains("permissions", permission), F.lit(False))
     return joined.select(user, role, answer.alias("allowed"))
 
@@ -56,7 +60,8 @@ def _permissions_of(roles: DataFrame, role: str, name: str) -> Column:
 
 def combined_permissions(users: DataFrame, roles: DataFrame, role: str, extra: str) -> DataFrame:
     """Every user's permissions once the extra role is added, as a sorted array; unknown roles grant nothing."""
-    joined = users.join(roles.select(role, "permissions"), role, "left")
+    roles = settle(roles.select(role, "permissions"), "roles")
+    joined = users.join(roles, role, "left")
     own = F.coalesce("permissions", F.array().cast("array<string>"))
     both = F.array_union(own, _permissions_of(roles, role, extra))
     return joined.select(*users.columns, F.sort_array(both).alias("combined"))

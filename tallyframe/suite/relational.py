@@ -260,13 +260,11 @@ def distinct_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Each column is made distinct by a shuffle of its own, so no combined expansion of the rows is needed."""
     lines = table(spark, sf, "lineitem")
 
-    def distinct(column: str):
-        return lines.select(column).distinct().agg(F.count(F.lit(1))).scalar()
+    def distinct(column: str, name: str) -> DataFrame:
+        return lines.where(F.col(column).isNotNull()).select(column).distinct().agg(F.count(F.lit(1)).alias(name))
 
-    return lines.agg(F.count(F.lit(1)).alias("n")).select(
-        distinct("l_orderkey").alias("orders"), distinct("l_partkey").alias("parts"),
-        distinct("l_suppkey").alias("suppliers"),
-    )
+    others = distinct("l_partkey", "parts").scalar().alias("parts"), distinct("l_suppkey", "suppliers").scalar().alias("suppliers")
+    return distinct("l_orderkey", "orders").select("orders", *others)
 
 
 @query("pivot_no_group", """

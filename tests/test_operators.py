@@ -7,7 +7,7 @@ import statistics
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

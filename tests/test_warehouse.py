@@ -6,7 +6,7 @@ import os
 from datetime import date, datetime
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tallyframe.operators import history, quality, upsert
