@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tallyframe.sources.shared import settle
 
 
-
 def _is_flat(links: DataFrame) -> bool:
     """Whether each node has one link to a smaller node, or links from larger nodes only."""
     ends = links.select(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(
@@ -22,7 +21,8 @@ def components(links: DataFrame, left: str, right: str, rounds: int = 60) -> Dat
 
     Large-star and small-star steps in turn, until every node is a head or points to one; each step halves the paths, so
     long chains take logarithmically many. Every node's neighbourhood is reduced to its minimum before it is joined back, so no
-    neighbourhood is gathered anywhere, and a hub's links are split by the skew join. Each round is written to the shared
+    neighbourhood is gathered anywhere, and a hub's links are split by the skew join: null-safe equality changes no row, but
+    gives the minima a shuffle of their own, without which adaptive execution splits nothing. Each round is written to the shared
     folder, which cuts the lineage. Links with a NULL end and loops are ignored; no links give no rows.
     """
     a, b = F.col(f"`{left}`"), F.col(f"`{right}`")
@@ -32,11 +32,11 @@ def components(links: DataFrame, left: str, right: str, rounds: int = 60) -> Dat
         if _is_flat(links):
             break
         both = links.unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        links = settle(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct(), "links")
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).withColumnRenamed("u", "node")
+        large = both.where("v > u").join(least, F.col("u").eqNullSafe(F.col("node"))).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "node")
+        small = large.join(least, F.col("u").eqNullSafe(F.col("node"))).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        links = settle(small.unionAll(least.select(F.col("node").alias("u"), F.col("m").alias("v"))).distinct(), "links")
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     heads = links.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
