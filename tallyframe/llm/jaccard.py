@@ -264,13 +264,39 @@ def _heights(sized: DataFrame) -> DataFrame:
     return sized.groupBy("block").agg(F.count("*").alias("rows"), F.sum("n").alias("elements"))
 
 
+def _shared_keys(keyed: DataFrame) -> DataFrame:
+    """The rows (k, rep) whose key has several holders, and those of the first and the last key of a task, which may go on
+    in another. Dealt as in `_sharing`; most keys of unlike documents have one holder, so little is left."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = before = None
+        k = rep = np.zeros(0, np.int64)  # the last row so far, kept back until the next one is known
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            k, rep = (np.concatenate([kept, batch.column(i).to_numpy()]) for i, kept in enumerate((k, rep)))
+            first = k[0] if first is None else first
+            same = k[1:] == k[:-1]
+            shared = np.concatenate([[before is not None and before == k[0]], same[:-1]]) | same if len(same) else same
+            keep = shared | (k[:-1] == first)
+            if keep.any():
+                yield pa.RecordBatch.from_arrays([pa.array(k[:-1][keep]), pa.array(rep[:-1][keep])], names=["k", "rep"])
+            before = k[-2] if len(k) > 1 else before
+            k, rep = k[-1:], rep[-1:]
+        if len(k):
+            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(rep)], names=["k", "rep"])
+
+    dealt = keyed.select("k", "rep").repartitionByRange("k", "rep").sortWithinPartitions("k", "rep")
+    return dealt.mapInArrow(run, "k bigint, rep bigint")
+
+
 def _buckets(keyed: DataFrame, sized: DataFrame) -> DataFrame:
     """Blocks of the holders of each key in place of a chain of keys; of keys with the same holders, one."""
-    held = settle(keyed.join(sized.drop("block"), "rep"), "held")
+    held = settle(_shared_keys(keyed), "held")
     same = held.groupBy("k").agg(F.count("*").alias("c"), F.sum(F.xxhash64("rep") % (1 << 40)).alias("s"), F.min("rep").alias("m"))
     kept = same.where("c > 1").groupBy("c", "s", "m").agg(F.min("k").alias("k")).select("k")
     block = F.struct(F.lit(1).alias("kind"), F.col("k").alias("at")).alias("block")
-    return held.join(kept, "k").select(block, "rep", "h1", "h2", "n")
+    return held.join(kept, "k").join(sized.drop("block"), "rep").select(block, "rep", "h1", "h2", "n")
 
 
 def similar_components(

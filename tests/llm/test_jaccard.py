@@ -106,3 +106,22 @@ def test_components_of_chains_and_hubs(spark):
     found = dict(components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect())
     assert found == {i: 0 for i in range(61)} | {100 + i: 100 for i in range(50)} | {299: 299, 300: 299}
     assert components(spark.createDataFrame([], "a long, b long"), "a", "b").collect() == []
+
+
+def test_only_shared_keys_are_left(spark):
+    rng = np.random.default_rng(5)
+    pairs = [(int(k), int(r)) for k, r in zip(rng.integers(0, 4000, 9000), rng.integers(0, 300, 9000))] + [(-7, r) for r in range(2500)]
+    holders = {}
+    for k, rep in set(pairs):
+        holders.setdefault(k, set()).add(rep)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")
+    try:
+        rows = spark.createDataFrame(sorted(set(pairs)), "k bigint, rep bigint")
+        got = [tuple(r) for r in jaccard._shared_keys(rows).collect()]
+        parts = jaccard._shared_keys(rows).rdd.getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    shared = {(k, r) for k, rs in holders.items() if len(rs) > 1 for r in rs}
+    assert len(got) == len(set(got)) and shared <= set(got) <= set(pairs)
+    assert len(set(got) - shared) <= 2 * parts
+    assert jaccard._shared_keys(rows.where("false")).count() == 0
