@@ -14,9 +14,19 @@ from pyspark.sql import functions as F
 from tallyframe.llm.rowwise import in_training
 from tallyframe.sources.shared import settle
 
+_PLAIN = "[A-Za-z0-9+/_\\\\-]"
 _TOKEN = "[A-Za-z0-9+/_=\\\\-]"
 #: Words that announce a secret.
 ANNOUNCING = "token|secret|passw|pwd|api|apikey|access|auth|bearer|credential|private|signature|key"
+#: What stands between a name and its value.
+_ASSIGNS = "[\"'`\\])\\\\]{0,3}\\s?(?:=>|:=|==?|:)\\s?[\"'`(\\[\\\\]{0,3}"
+#: The end of a text that assigns to a name with an announcing word in it.
+_NAMED = f"(?i:{ANNOUNCING})[A-Za-z0-9_.-]{{0,40}}{_ASSIGNS}"
+#: Forms of keys that issuers give out, known without any announcement.
+KNOWN_FORMS = (
+    "^(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{22,}|glpat-[A-Za-z0-9_-]{20,}"
+    "|xox[abeoprs]-[0-9][A-Za-z0-9-]{9,}|sk-(?=[^0-9]*[0-9])[A-Za-z0-9_-]{20,}|[rs]k_(?:live|test)_[A-Za-z0-9]{16,}"
+    "|AIza[A-Za-z0-9_-]{35}|npm_[A-Za-z0-9]{36}|pypi-[A-Za-z0-9_-]{50,}|hf_[A-Za-z0-9]{30,}|dop_v1_[0-9a-f]{64})$")
 #: Words that announce something else that looks alike.
 HARMLESS = "commit|sha1|sha256|md5|checksum|digest|hash|revision|uuid|guid|isbn|card|phone|image|version|http|www|file|page"
 #: Words of made-up values.
@@ -29,35 +39,52 @@ DICTIONARY = (
     "mente ado ando dad ero ella user name data file path config class string value number page site home index list").split()
 FEATURES = (
     "length", "transitions", "digits", "capitals", "others", "distinct", "hexadecimal", "vowels", "covered", "announced",
-    "assigned", "quoted", "harmless", "made_up", "letters_before", "path_depth", "path_tests", "path_settings")
+    "assigned", "named", "known_form", "quoted", "harmless", "made_up", "letters_before", "path_depth", "path_tests", "path_settings")
 
 
 def candidates(
-    df: DataFrame, key: Sequence[str] = ("doc_id",), text: str = "text", path: str = "source", least: int = 16,
+    df: DataFrame, key: Sequence[str] = ("doc_id",), text: str = "text", path: str = "source", least: int = 16, least_named: int = 4,
 ) -> DataFrame:
-    """The key columns, word_no, token_no, token, its neighbours and path: a row per run of `least` token characters or more.
+    """The key columns, word_no, token_no, token, its neighbours and path: a row per run of `least` token characters or more,
+    and per run of `least_named` or more that is assigned to a name with an announcing word.
 
-    Words are separated by white space; neighbours are three words before and one after, and the word's own text around
-    the token. Every run of every whole text counts; NULL texts have none.
+    A run is parted at its first '=' that is no padding: the name belongs to the neighbours of the value, and is a candidate
+    itself if it is long enough; '=' alone is none. Words are separated by white space; neighbours are three words before
+    and one after, and the word's own text around the token. Every run of every whole text counts; NULL texts have none.
     """
-    run = f"{_TOKEN}{{{least},}}"
+    name = f"{_PLAIN}{{{least},}}+(?==+{_PLAIN})"
+    value = f"(?!=)(?:(?<==)|(?!{_PLAIN}*+=++{_PLAIN})){_TOKEN}{{{least},}}"
+    short = f"(?<=[=:>\"'`(\\[\\\\\\s])(?!=)(?<={_NAMED}){_TOKEN}{{{least_named},{least - 1}}}(?!{_TOKEN})"
+    # the words before, a line break, the word: each match is what comes before a token, from the last one on, and the token
+    run = f"(?s)\\G((?:^[^\\n]*+\\n)?+.*?)({name}|{value}|{short})"
     word = F.split(F.col(f"`{text}`").cast("string"), "\\s+")
     path_column = F.coalesce(F.col(f"`{path}`").cast("string"), F.lit("")) if path in df.columns else F.lit("")
     words = df.select(*(F.col(f"`{k}`") for k in key), path_column.alias("__path"), word.alias("__words"))
-    long_words = F.filter(
-        F.transform("__words", lambda w, i: F.when(F.length(w) >= least, F.struct(i.alias("i"), w.alias("w")))),
+
+    def worth_a_look(w: Column, i: Column) -> Column:
+        last = F.get("__words", i - 1)
+        assigned = F.contains(w, F.lit("=")) | F.contains(w, F.lit(":")) | last.endswith("=") | last.endswith(":") | last.endswith("=>")
+        return (F.length(w) >= least) | (F.length(w) >= least_named) & assigned
+
+    looked_at = F.filter(
+        F.transform("__words", lambda w, i: F.when(worth_a_look(w, i), F.struct(i.alias("i"), w.alias("w")))),
         lambda x: x.isNotNull())
-    near = words.withColumn("__long", long_words).where(F.size("__long") > 0).withColumn("__long", F.transform("__long", lambda x: F.struct(
+    # outer: a filter on what is unfolded would be moved below and split the text again, for each word
+    near = words.withColumn("__long", looked_at).withColumn("__long", F.transform("__long", lambda x: F.struct(
         x.i.alias("i"), x.w.alias("w"),
         F.array_join(F.slice("__words", F.greatest(x.i - 2, F.lit(1)), F.least(x.i, F.lit(3))), " ").alias("before"),
         F.coalesce(F.get("__words", x.i + 1), F.lit("")).alias("after"))))
-    one = near.select(*key, "__path", F.explode("__long").alias("x")).select(
-        *key, "__path", F.col("x.i").cast("bigint").alias("word_no"), F.col("x.w").alias("__w"), F.col("x.before").alias("__before"),
-        F.col("x.after").alias("after"), F.posexplode(F.regexp_extract_all("x.w", F.lit(f"({run})"), 1)).alias("token_no", "token"))
-    return one.select(
-        *key, "word_no", F.col("token_no").cast("bigint").alias("token_no"), "token",
-        F.concat_ws(" ", "__before", F.expr("substring(__w, 1, locate(token, __w) - 1)")).alias("before"), "after",
-        F.col("__path").alias("path"))
+    one = near.select(*key, "__path", F.explode_outer("__long").alias("x")).where("x is not null").select(
+        *key, "__path", F.col("x.i").cast("bigint").alias("word_no"), F.col("x.after").alias("after"),
+        F.concat("x.before", F.lit("\n"), "x.w").alias("__text"))
+    parted = one.select(
+        *key, "__path", "word_no", "after", F.regexp_extract_all("__text", F.lit(run), 1).alias("__gaps"),
+        F.regexp_extract_all("__text", F.lit(run), 2).alias("__tokens"))
+    up_to = lambda i: F.array_join(F.zip_with(F.slice("__gaps", 1, i), F.slice("__tokens", 1, i), lambda g, t: F.concat(g, t)), "")
+    tokens = F.transform("__tokens", lambda t, i: F.struct(
+        t.alias("token"), F.translate(F.concat(up_to(i), F.get("__gaps", i)), "\n", " ").alias("before")))
+    return parted.select(*key, "__path", "word_no", "after", F.posexplode_outer(tokens).alias("token_no", "x")).where("x is not null").select(
+        *key, "word_no", F.col("token_no").cast("bigint").alias("token_no"), "x.token", "x.before", "after", F.col("__path").alias("path"))
 
 
 def _share(pattern: str, of: Column) -> Column:
@@ -87,6 +114,8 @@ def with_features(found: DataFrame) -> DataFrame:
         "covered": _share("|".join(sorted(set(DICTIONARY), key=lambda w: (-len(w), w))), low),
         "announced": _has(ANNOUNCING, before),
         "assigned": before.rlike("[=:]\\s*[\"'`(\\[]?$").cast("double"),
+        "named": before.rlike(f"{_NAMED}$").cast("double"),
+        "known_form": token.rlike(KNOWN_FORMS).cast("double"),
         "quoted": before.rlike("[\"'`]$").cast("double"),
         "harmless": _has(HARMLESS, before),
         "made_up": _has(MADE_UP, around),
@@ -99,13 +128,20 @@ def with_features(found: DataFrame) -> DataFrame:
 
 
 def label_findings(found: DataFrame) -> DataFrame:
-    """`label` for findings whose nature is plain: 1 for an announced, assigned, mixed token that is no made-up value; 0 for
-    one without announcement, or with letters or digits only and no announcement, or made up, or announced as harmless;
-    NULL for the rest. This is the labelling the query trains on, as the tables hold no reviewed findings."""
+    """`label` for findings whose nature is plain: 1 for an announced, assigned, mixed token or one of a known form, that is no
+    made-up value; 0 for one without announcement, or with letters or digits only and no announcement, or made up, or
+    announced as harmless, or a short word or number after a colon and a space, as in prose; NULL for the rest. Of a token that is assigned to an announcing name, or of a known form, only
+    that name and the token itself can tell that it is harmless or made up, not the words around. This is the labelling
+    the query trains on, as the tables hold no reviewed findings."""
     mixed = (F.col("digits") > 0.1) & (F.col("digits") < 0.95) & (F.col("covered") < 0.5)
+    name = F.regexp_extract("before", f"([A-Za-z0-9_.-]*){_ASSIGNS}$", 1)
+    own = F.concat_ws(" ", F.when(F.col("named") == 1, name), "token")
+    real = ~F.lower(own).rlike(MADE_UP)
+    named = (F.col("named") == 1) & ~F.lower(name).rlike(HARMLESS) & real & mixed
     plain = (F.col("announced") == 0) & (F.col("assigned") == 0) | (F.col("made_up") == 1) | (F.col("harmless") == 1)
-    label = F.when((F.col("announced") == 1) & (F.col("assigned") == 1) & mixed & ~plain, 1).when(plain, 0)
-    return found.withColumn("label", label)
+    plain |= F.col("before").rlike(":\\s$") & F.col("token").rlike("^(?:[A-Za-z]?[a-z-]{1,14}|[0-9]{1,15})$")
+    secret = named | (F.col("known_form") == 1) & real | (F.col("announced") == 1) & (F.col("assigned") == 1) & mixed & ~plain
+    return found.withColumn("label", F.when(secret, 1).when(plain, 0))
 
 
 @dataclass
@@ -151,20 +187,24 @@ def scan(
 
     Candidates and their features are stored once, a narrow table, and read for the two classes of the sample and for
     judging. Candidates of the training part of the ids, labelled by `label_findings`, train the forest, which then judges every
-    candidate of every whole text. NULL and empty texts have no candidates; rows without a key are judged and not learnt
+    candidate of every whole text; one that is plainly a secret by that labelling has probability 1, whatever the sample
+    held. NULL and empty texts have no candidates; rows without a key are judged and not learnt
     from; repeated rows give repeated findings; ties in the sample go by token and neighbours; a table without
     candidates, or without one class of them, needs no forest; other columns are not read.
     """
-    featured = settle(with_features(candidates(df, [key, *carry], text, path)), "candidates")
-    scanner = train(label_findings(featured).where(in_training(F.col(key))), per_class)
-    return scanner.judge(featured).select(
+    featured = settle(label_findings(with_features(candidates(df, [key, *carry], text, path))), "candidates")
+    scanner = train(featured.where(in_training(F.col(key))), per_class)
+    judged = scanner.judge(featured).withColumn("probability", F.when(F.col("label") == 1, 1.0).otherwise(F.col("probability")))
+    return judged.select(
         key, *carry, "word_no", "token_no", "token", "probability", (F.col("probability") >= threshold).alias("is_secret"))
 
 
-def redact(df: DataFrame, key: str = "doc_id", text: str = "text", path: str = "source", mark: str = "[SECRET]") -> DataFrame:
+def redact(
+    df: DataFrame, key: str = "doc_id", text: str = "text", path: str = "source", mark: str = "[SECRET]", least: int = 16,
+) -> DataFrame:
     """The rows of `df` with each confirmed secret in `text` replaced by `mark`; all other columns and rows as they are.
 
-    The longest secrets are replaced first. Confirmed secrets are few and meet their documents by key and a hash of the
+    The longest secrets are replaced first, those under `least` characters only where they stand alone. Confirmed secrets are few and meet their documents by key and a hash of the
     text, so a row without a key, or with a repeated one, gets its own.
     """
     place = [f"`{key}`", f"`{text}`"]
@@ -174,6 +214,10 @@ def redact(df: DataFrame, key: str = "doc_id", text: str = "text", path: str = "
     secrets = found.groupBy(F.col("__h").alias("__s")).agg(
         F.array_sort(F.collect_set(F.struct((-F.length("token")).alias("n"), "token"))).alias("__secrets"))
     joined = df.withColumn("__h", F.xxhash64(*place)).join(settle(secrets, "secrets"), F.col("__h") == F.col("__s"), "left")
-    clean = F.aggregate("__secrets", F.col(f"`{text}`").cast("string"), lambda t, s: F.replace(t, s.token, F.lit(mark)))
+    alone = lambda s: F.concat(
+        F.lit(f"(?<!{_PLAIN})"), F.regexp_replace(s.token, "([+\\\\])", "\\\\$1"), F.lit(f"(?!{_TOKEN})"))
+    literal = F.lit(mark.replace("\\", "\\\\").replace("$", "\\$"))
+    clean = F.aggregate("__secrets", F.col(f"`{text}`").cast("string"), lambda t, s: F.when(
+        F.length(s.token) >= least, F.replace(t, s.token, F.lit(mark))).otherwise(F.regexp_replace(t, alone(s), literal)))
     return joined.withColumn(text, F.when(F.col("__secrets").isNotNull(), clean).otherwise(F.col(f"`{text}`"))).select(
         *(F.col(f"`{c}`") for c in df.columns))

@@ -91,6 +91,28 @@ def test_secrets(spark):
     assert secrets.scan(df.limit(0)).count() == 0
 
 
+def test_secrets_unquoted_bare_and_short(spark):
+    """Secrets that carry their own name, of a known form without any name, and short ones; alone in a table, too."""
+    rng = random.Random(9)
+    code = lambda n, letters="0123456789abcdef": "".join(rng.choice(letters) for _ in range(n))
+    upper, mixed = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJ0123456789"
+    hidden = [
+        (lambda s: f"TOKEN={s}", code(40)), (lambda s: f"export API_KEY={s} next", "7f" + code(38)),
+        (lambda s: f"see https://www.example.org/page?id=4&access_token={s}&x=1 there", code(32)),
+        (lambda s: f"DB_PASSWORD={s}=", "a1b2=" + code(20)), (lambda s: f"found {s} in the log", "AKIA" + code(16, upper)),
+        (lambda s: f"push with {s} then", "ghp_" + code(36, mixed)), (lambda s: f"password: {s}", "hun7er2x"),
+        (lambda s: f'{{"passwd": "{s}"}}', "q9w8e7"), (lambda s: f"PWD={s} and pass1word2 stays", "pass1")]
+    harmless = [f"commit={code(40)}", f"sha1 {code(40)}", "a=b c=d", "=" * 40, "API_KEY=example1234567890abcdef",
+                "the internationalisation_of_everything=yes", *["the key: value of the matter"] * 9]
+    rows = [(i, make(s), "a") for i, (make, s) in enumerate(hidden)] + [(100 + i, t, "a") for i, t in enumerate(harmless)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for part in (df, df.unionByName(spark.createDataFrame(secret_docs(spark)[0], df.schema).withColumn("doc_id", F.col("doc_id") + 1000))):
+        clean = {r["doc_id"]: r["text"] for r in secrets.redact(part).where("doc_id < 1000").collect()}
+        for i, (make, s) in enumerate(hidden):
+            assert clean[i] in (make("[SECRET]"), make("[SECRET]").replace("[SECRET]=", "[SECRET]")), (i, clean[i])
+        assert [clean[100 + i] for i in range(len(harmless))] == harmless
+
+
 def test_leaks(spark):
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 10)))
