@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -112,18 +111,51 @@ class Shingled:
     """A weighted bag of shingles."""
 
     def __init__(self, hashes: np.ndarray, weight: np.ndarray):
-        self.weight = {}
-        width = min(_SHINGLE, len(hashes))
-        of = np.convolve(weight, np.ones(width, np.int64), "valid") if len(hashes) else weight
-        found = shingle_hashes(hashes, _SHINGLE).tolist()
-        self.weight = dict(zip(found, of.tolist(), strict=True))
-        self.count = Counter(found)
-
-    def similarity(self, other: Shingled) -> float:
-        """Weighted Jaccard similarity: shared weight over total weight, each shingle as often as it occurs."""
-        weight = self.weight | other.weight
-        union = sum(w * max(self.count[s], other.count[s]) for s, w in weight.items())
-        return sum(w * min(self.count[s], other.count[s]) for s, w in self.weight.items()) / union if union else 0.0
+        found = shingle_hashes(hashes, _SHINGLE)
+        self.shingles, first, self.counts = np.unique(found, return_index=True, return_counts=True)
+        self.total = int((_spans(weight)[first] * self.counts).sum())
+
+    def best_region(self, hashes: np.ndarray, weight: np.ndarray, percent: int) -> tuple[float, int, int] | None:
+        """Weighted Jaccard similarity (shared weight over total weight, each shingle as often as it occurs), first word and
+        words of the most similar region, the first and shortest of equals; None if none reaches `percent`.
+
+        The best region begins and ends with a shingle of the bag, and weighs total * 100 / percent at most. Every such region
+        counts: from each start the shared weight is added up shingle by shingle to each end. Starts that cannot reach the best
+        found so far are left out.
+        """
+        found, span = shingle_hashes(hashes, _SHINGLE), _spans(weight)
+        entry = np.minimum(np.searchsorted(self.shingles, found), len(self.shingles) - 1)
+        at = np.flatnonzero(self.shingles[entry] == found)
+        if not len(at):
+            return None
+        # the place of the shingle as many occurrences before as the bag holds: beyond it a region has one too many
+        order = np.lexsort((at, entry[at]))
+        kind, limit = entry[at][order], self.counts[entry[at]][order]
+        back = np.arange(len(at)) - limit
+        full = np.full(len(at), -1, np.int64)
+        full[order] = np.where((back >= 0) & (kind[back] == kind), at[order][back], -1)
+        before = np.concatenate([[0], np.cumsum(span)])
+        own, held = span[at], np.concatenate([[0], np.cumsum(span[at])])
+        last = np.searchsorted(before[at + 1], before[at] + self.total * 100 // percent, "right")
+        most = np.minimum(held[last] - held[:-1], self.total)
+        best, value = None, 0.0
+        for i in np.argsort(-most, kind="stable").tolist():
+            if 100 * most[i] < percent * self.total or most[i] / self.total < value or value == 1:
+                break
+            stop = int(last[i])
+            shared = np.cumsum(np.where(full[i:stop] < at[i], own[i:stop], 0))
+            union = self.total + before[at[i:stop] + 1] - before[at[i]] - shared
+            share = shared / union
+            j = int(share.argmax())
+            if 100 * shared[j] >= percent * union[j] and (best is None or (-share[j], at[i]) < (-value, best[1])):
+                value = float(share[j])
+                best = value, int(at[i]), int(at[i + j] - at[i]) + _SHINGLE
+        return best
+
+
+def _spans(weight: np.ndarray) -> np.ndarray:
+    """The weight of each shingle, the sum of its words'."""
+    return np.convolve(weight, np.ones(min(_SHINGLE, len(weight)), np.int64), "valid") if len(weight) else weight
 
 
 class Benchmark:
@@ -144,7 +176,7 @@ class Benchmark:
                 end = start + size
                 for window in Votes(h[start:end], w[start:end]).simhashes(step, size):
                     prints.setdefault((step, size), []).append((window, len(self.items), start))
-            self.items.append((item_id, len(found), Shingled(h, w)))
+            self.items.append((item_id, Shingled(h, w)))
         self.index = {
             kind: Index(np.array([p for p, _, _ in rows], np.uint64), np.array([i for _, i, _ in rows]),
                         np.array([o for _, _, o in rows]), radius)
@@ -158,7 +190,7 @@ class Benchmark:
         ends = np.cumsum(lengths)
         flat = [w for p in parts for w in p]
         h, w, of = word_hashes(flat), weights(flat), np.repeat(np.arange(len(parts)), lengths)
-        regions: dict[int, set[tuple[int, int]]] = {}
+        pairs = set()
         for chunk in range(0, len(flat) if self.index else 0, _CHUNK):
             stop = min(len(flat), chunk + _CHUNK + self.longest)
             votes = Votes(h[chunk:stop], w[chunk:stop])
@@ -167,37 +199,19 @@ class Benchmark:
                 places = chunk + np.arange(len(windows)) * step
                 inside = np.flatnonzero(of[places] == of[places + size - 1])
                 left, right = index.within(windows[inside])
-                starts = places[inside[left]]
-                for text, start, item in zip(
-                    of[starts].tolist(), (starts - index.offsets[right]).tolist(), index.items[right].tolist(), strict=True):
-                    regions.setdefault(text, set()).add((item, start))
-        out = []
+                pairs.update(zip(of[places[inside[left]]].tolist(), index.items[right].tolist(), strict=True))
+        out = [[] for _ in parts]
+        for text, item in sorted(pairs):
+            first, end = int(ends[text] - lengths[text]), int(ends[text])
+            item_id, bag = self.items[item]
+            best = bag.best_region(h[first:end], w[first:end], self.percent)
+            if best:
+                out[text].append((item_id, *best))
         for text, found in enumerate(parts):
-            first, end, best = int(ends[text] - lengths[text]), int(ends[text]), {}
-            for item, start in sorted(regions.get(text, ())):
-                item_id, length, bag = self.items[item]
-                if best.get(item, (0, 0.0))[1] == 1:
-                    continue
-                for a, b in self._around(start, length, first, end):
-                    s = bag.similarity(Shingled(h[a:b], w[a:b]))
-                    if 100 * s >= self.percent and s > best.get(item, (0, 0.0))[1]:
-                        best[item] = (item_id, s, a - first, b - a)
-                    if s == 1:
-                        break
             whole = self.whole.get(tuple(found), ()) if len(found) < _SHINGLE else ()
-            out.append(sorted(best.values()) + [(i, 1.0, 0, len(found)) for i in whole])
+            out[text] = sorted(out[text]) + [(i, 1.0, 0, len(found)) for i in whole]
         return out
 
-    @staticmethod
-    def _around(start: int, length: int, first: int, end: int) -> Iterator[tuple[int, int]]:
-        """The region an item would cover, and it moved or stretched by a word, within the text."""
-        seen = set()
-        for a, b in ((0, 0), (0, 1), (0, -1), (-1, 0), (1, 0), (-1, -1), (1, 1)):
-            region = max(first, start + a), min(end, start + length + b)
-            if region not in seen and region[1] - region[0] >= _SHINGLE:
-                seen.add(region)
-                yield region
-
 
 LEAKS = T.StructField("leaks", T.ArrayType(T.StructType([
     T.StructField("item_id", T.LongType()), T.StructField("similarity", T.DoubleType()),
@@ -211,8 +225,8 @@ def find_leaks(
     """The key columns and `leaks`, one row per row of `df`: the items in it, most similar region of each.
 
     An item of five words or more leaks where a region of a document has a weighted 5-word-shingle similarity of
-    `percent` or more with it. Candidate regions are those with a window whose SimHash is within `radius` bits of one of the
-    item's windows, and all windows within the radius are found; a passage in the item's words always is. Shorter items
+    `percent` or more with it. Candidates are documents with a window whose SimHash is within `radius` bits of one of the
+    item's windows, and all windows within the radius are found; in a candidate every region is compared. Shorter items
     leak into documents of just their words. Words ignore case and punctuation. NULL and empty texts and items have no
     leaks; items without an id are ignored, of repeated ids each text counts; equal documents have equal leaks; an empty
     benchmark gives empty lists; other columns are not read. Whole texts, every window, no shuffle. The items are the

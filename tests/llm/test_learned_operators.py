@@ -143,6 +143,14 @@ def test_leaks(spark):
         decontaminate.find_leaks(df, benchmark, max_bytes=10)
 
 
+@pytest.mark.parametrize(("length", "at", "n"), [(59, 30, 3), (100, 50, 8), (100, 80, 10)])
+def test_leaks_with_an_inserted_run(length, at, n):
+    item = [f"w{i:03d}" for i in range(length)]
+    text = " ".join(item[:at] + [f"new{i}" for i in range(n)] + item[at:])
+    found = decontaminate.Benchmark([(1, " ".join(item))], 80, 5).leaks([text])[0]
+    assert [(i, a, m) for i, _, a, m in found] == [(1, 0, length + n)] and found[0][1] >= 0.8
+
+
 def test_index_finds_all_within_the_radius():
     rng = np.random.default_rng(5)
     prints = rng.integers(0, 2 ** 63, 200).astype(np.uint64)
