@@ -159,10 +159,14 @@ def _spans(weight: np.ndarray) -> np.ndarray:
 
 
 class Benchmark:
-    """The items, as words with weights, shingle bags, and window fingerprints by window size."""
+    """The items, as words with weights, shingle bags, and window fingerprints by window size.
+
+    A region as similar as `percent` holds that share of the item's shingles by weight, so as much of the item's windows of
+    shingle size is in the text with equal SimHash: documents with so much of an item are verified, wherever the edits are.
+    """
 
     def __init__(self, items: Sequence[tuple[int, str | None]], percent: int, radius: int):
-        self.percent, self.items, self.whole, prints = percent, [], {}, {}
+        self.percent, self.items, self.whole, prints, short = percent, [], {}, {}, {}
         for item_id, text in items:
             found = words(text)
             h, w = word_hashes(found), weights(found)
@@ -176,12 +180,22 @@ class Benchmark:
                 end = start + size
                 for window in Votes(h[start:end], w[start:end]).simhashes(step, size):
                     prints.setdefault((step, size), []).append((window, len(self.items), start))
+            for window in set(Votes(h, w).simhashes(1, _SHINGLE).tolist()):
+                short.setdefault(window, []).append(len(self.items))
             self.items.append((item_id, Shingled(h, w)))
+        self.totals = np.array([bag.total for _, bag in self.items], np.int64)
+        self.short = np.array(sorted(short), np.uint64)
+        self.holders = np.array([i for window in sorted(short) for i in short[window]], np.int64)
+        self.held = np.concatenate([[0], np.cumsum([len(short[window]) for window in sorted(short)])]).astype(np.int64)
+        bits = min(24, max(16, len(short).bit_length() + 4))
+        self.mask = np.uint64((1 << bits) - 1)
+        self.taken = np.zeros(1 << bits, bool)
+        self.taken[(self.short & self.mask).astype(np.int64)] = True
         self.index = {
             kind: Index(np.array([p for p, _, _ in rows], np.uint64), np.array([i for _, i, _ in rows]),
                         np.array([o for _, _, o in rows]), radius)
             for kind, rows in sorted(prints.items())}
-        self.longest = max((size for _, size in self.index), default=0)
+        self.longest = max((size for _, size in self.index), default=_SHINGLE)
 
     def leaks(self, texts: Sequence[str | None]) -> list[list[tuple[int, float, int, int]]]:
         """For each text the items in it: id, similarity, first word and words of the best region."""
@@ -190,7 +204,7 @@ class Benchmark:
         ends = np.cumsum(lengths)
         flat = [w for p in parts for w in p]
         h, w, of = word_hashes(flat), weights(flat), np.repeat(np.arange(len(parts)), lengths)
-        pairs = set()
+        pairs, places_hit, items_hit = set(), [], []
         for chunk in range(0, len(flat) if self.index else 0, _CHUNK):
             stop = min(len(flat), chunk + _CHUNK + self.longest)
             votes = Votes(h[chunk:stop], w[chunk:stop])
@@ -200,6 +214,23 @@ class Benchmark:
                 inside = np.flatnonzero(of[places] == of[places + size - 1])
                 left, right = index.within(windows[inside])
                 pairs.update(zip(of[places[inside[left]]].tolist(), index.items[right].tolist(), strict=True))
+            windows = votes.simhashes(1, _SHINGLE)[:_CHUNK]
+            at = np.flatnonzero(self.taken[(windows & self.mask).astype(np.int64)])
+            at = at[of[chunk + at] == of[chunk + at + _SHINGLE - 1]]
+            entry = np.minimum(np.searchsorted(self.short, windows[at]), len(self.short) - 1)
+            equal = self.short[entry] == windows[at]
+            at, entry = at[equal], entry[equal]
+            many = self.held[entry + 1] - self.held[entry]
+            inside = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            places_hit.append(np.repeat(chunk + at, many))
+            items_hit.append(self.holders[np.repeat(self.held[entry], many) + inside])
+        if places_hit:
+            place, item = np.concatenate(places_hit), np.concatenate(items_hit)
+            weight = np.concatenate([[0], np.cumsum(w)])
+            both, which = np.unique(of[place] * len(self.items) + item, return_inverse=True)
+            shared = np.bincount(which, weight[place + _SHINGLE] - weight[place], len(both))
+            enough = both[100 * shared >= self.percent * self.totals[both % len(self.items)]]
+            pairs.update(zip((enough // len(self.items)).tolist(), (enough % len(self.items)).tolist(), strict=True))
         out = [[] for _ in parts]
         for text, item in sorted(pairs):
             first, end = int(ends[text] - lengths[text]), int(ends[text])
@@ -225,8 +256,9 @@ def find_leaks(
     """The key columns and `leaks`, one row per row of `df`: the items in it, most similar region of each.
 
     An item of five words or more leaks where a region of a document has a weighted 5-word-shingle similarity of
-    `percent` or more with it. Candidates are documents with a window whose SimHash is within `radius` bits of one of the
-    item's windows, and all windows within the radius are found; in a candidate every region is compared. Shorter items
+    `percent` or more with it, and every such item is found. Candidates are documents with a window whose SimHash is within
+    `radius` bits of one of the item's windows, and those with `percent` of the item's weight in five-word windows of equal
+    SimHash, as any region similar enough has. In a candidate every region is compared. Shorter items
     leak into documents of just their words. Words ignore case and punctuation. NULL and empty texts and items have no
     leaks; items without an id are ignored, of repeated ids each text counts; equal documents have equal leaks; an empty
     benchmark gives empty lists; other columns are not read. Whole texts, every window, no shuffle. The items are the

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -143,6 +144,51 @@ def test_leaks(spark):
         decontaminate.find_leaks(df, benchmark, max_bytes=10)
 
 
+def best_of_all(text, item):
+    """Similarity of the most similar region, over every region."""
+    def bag(found, weight):
+        out = Counter()
+        for i in range(len(found) - 4):
+            out[tuple(found[i:i + 5])] += int(weight[i:i + 5].sum())
+        return out
+
+    a, b = decontaminate.words(text), decontaminate.words(item)
+    weight, mine = decontaminate.weights(a), bag(b, decontaminate.weights(b))
+    best = 0.0
+    for first in range(len(a) - 4):
+        theirs, shared, total = Counter(), 0, 0
+        for i in range(first, len(a) - 4):
+            s, n = tuple(a[i:i + 5]), int(weight[i:i + 5].sum())
+            shared += n if theirs[s] < mine[s] else 0
+            theirs[s], total = theirs[s] + n, total + n
+            best = max(best, shared / (sum(mine.values()) + total - shared))
+    return best
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_leaks_equal_every_region_of_edited_copies(seed):
+    """Random runs of words inserted, deleted and replaced at random places; items that repeat themselves, too."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(1, 10)))
+    items = [[word() for _ in range(n)] for n in (7, 13, 40, 59, 100)] + [[word() for _ in range(20)] * 3]
+    benchmark, texts = decontaminate.Benchmark([(i, " ".join(t)) for i, t in enumerate(items)], 80, 5), []
+    for t in items:
+        for _ in range(9):
+            changed = list(t)
+            for _ in range(rng.randrange(1, 4)):
+                at, n = rng.randrange(len(changed)), rng.randrange(1, 2 + len(t) // 12)
+                changed[at:at + rng.choice((0, 0, 1, n))] = [word() for _ in range(rng.choice((0, 1, n)))]
+            texts.append(" ".join([word() for _ in range(9)] + changed + [word() for _ in range(9)]))
+    near = 0
+    for text, found in zip(texts, benchmark.leaks(texts), strict=True):
+        got = {i: s for i, s, *_ in found}
+        for i, item in enumerate(items):
+            want = best_of_all(text, " ".join(item))
+            near += 0.8 <= want < 1
+            assert got.get(i, 0.0) == pytest.approx(want if want >= 0.8 else 0.0)
+    assert near >= 10
+
+
 @pytest.mark.parametrize(("length", "at", "n"), [(59, 30, 3), (100, 50, 8), (100, 80, 10)])
 def test_leaks_with_an_inserted_run(length, at, n):
     item = [f"w{i:03d}" for i in range(length)]
