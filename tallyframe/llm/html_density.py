@@ -16,16 +16,20 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Elements whose content is never main text.
 DROPPED = frozenset(
     "script style noscript template head title nav header footer aside form button select option textarea iframe object "
-    "svg canvas dialog menu figcaption".split())
+    "svg canvas dialog menu".split())
 #: Elements that begin and end a block of text.
 BLOCKS = frozenset(
-    "html body address article blockquote center dd details div dl dt fieldset figure h1 h2 h3 h4 h5 h6 hr li main ol p pre "
+    "html body address article blockquote center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hr li main ol p pre "
     "section summary table tbody td tfoot th thead tr ul".split())
 #: Words of class, id or role that name page furniture, adverts, notices and reader comments.
 FURNITURE = frozenset(
     "ad ads advert advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header "
     "masthead menu modal nav navbar navigation newsletter notice pagination popup promo promoted related replies share "
     "sharing sidebar social sponsor sponsored subscribe toolbar widget".split())
+#: A class or id that begins so says what the element is beside, not what it is.
+BESIDE = frozenset("no not non without with has have is hide show".split())
+#: What an article's own header or footer belongs to.
+OWN = frozenset("post entry article content story".split())
 #: A start tag in the key closes an open element of the value, up to the nearest container.
 _CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
@@ -47,8 +51,12 @@ class Node:
 def _names_furniture(attributes: Sequence[tuple[str, str | None]]) -> bool:
     for name, value in attributes:
         if name in ("class", "id", "role") and value:
-            if not FURNITURE.isdisjoint(value.lower().replace("-", " ").replace("_", " ").split()):
-                return True
+            for given in value.lower().split():
+                words = given.replace("-", " ").replace("_", " ").split()
+                if words and words[0] not in BESIDE:
+                    found = FURNITURE.intersection(words)
+                    if found - {"header", "footer"} or found and words[0] not in OWN:
+                        return True
         elif name == "hidden" or name == "aria-hidden" and value == "true":
             return True
     return False
@@ -57,8 +65,9 @@ def _names_furniture(attributes: Sequence[tuple[str, str | None]]) -> bool:
 class _Tree(HTMLParser):
     """Builds the tree; unclosed and stray tags are closed as browsers would in the cases that matter for text."""
 
-    def __init__(self):
+    def __init__(self, names: bool = True):
         super().__init__(convert_charrefs=True)
+        self.names = names
         self.root = Node("html")
         self.open = [self.root]
 
@@ -69,7 +78,7 @@ class _Tree(HTMLParser):
             self._close(("p",))
         if tag in _CLOSES:
             self._close(_CLOSES[tag])
-        node = Node(tag, tag in DROPPED or _names_furniture(attrs))
+        node = Node(tag, tag in DROPPED or self.names and _names_furniture(attrs))
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.open.append(node)
@@ -168,8 +177,32 @@ def best_subtree(nodes: Sequence[tuple[Node, Node | None]]) -> Node | None:
     return top if worth(best) < worth(top) else best
 
 
-def blocks(node: Node) -> list[str]:
-    """The texts of a subtree's blocks in page order, white space as one space, trimmed, without empty ones."""
+def article(nodes: Sequence[tuple[Node, Node | None]], best: Node) -> tuple[Node, set[int]]:
+    """The highest ancestor of the best subtree with another part of the article beside the way down to it, and the ids of the
+    nodes beside that way that are no part of it.
+
+    A part is a subtree at least as dense as the thinnest on the way from the body to the best one, with less than half
+    its text in links. In such an ancestor, headings and paragraphs of their own stay too.
+    """
+    parents, way, threshold = {id(n): p for n, p in nodes}, [best], best.density
+    while (above := parents[id(way[-1])]) is not None:
+        threshold = min(threshold, above.density)
+        way.append(above)
+    top, left, pending = best, set(), set()
+    for child, node in zip(way, way[1:]):
+        beside = [c for c in node.children if isinstance(c, Node) and c is not child and c.chars and not c.furniture]
+        plain = [c for c in beside if 2 * c.link_chars < c.chars]
+        part = [c for c in plain if c.density >= threshold]
+        stay = {id(c) for c in plain if c.density >= threshold or c.tag not in _CONTAINERS}
+        pending |= {id(c) for c in beside} - stay
+        if part:
+            top, left = node, set(pending)
+    return top, left
+
+
+def blocks(node: Node, left: set[int] = frozenset()) -> list[str]:
+    """The texts of a subtree's blocks in page order, without the nodes left out, white space as one space, trimmed, without
+    empty ones."""
     found, current = [], []
 
     def end():
@@ -187,7 +220,7 @@ def blocks(node: Node) -> list[str]:
             current.append(item)
         elif item.tag == "br":
             current.append(" ")
-        elif not item.furniture:
+        elif not item.furniture and id(item) not in left:
             edge = item.tag in BLOCKS
             if edge:
                 end()
@@ -201,19 +234,23 @@ def main_text(html: str | None) -> str:
     """The main text of a page; empty if there is none."""
     if not html:
         return ""
-    tree = _Tree()
-    tree.feed(html)
-    tree.close()
-    node = best_subtree(measure(tree.root))
-    return "\n".join(blocks(node)) if node else ""
+    for names in (True, False):  # a page that is all furniture by its names is none
+        tree = _Tree(names)
+        tree.feed(html)
+        tree.close()
+        nodes = measure(tree.root)
+        node = best_subtree(nodes)
+        if node:
+            return "\n".join(blocks(*article(nodes, node)))
+    return ""
 
 
 def extract_main_text(df: DataFrame, key: str | Sequence[str] = ("page_id", "url"), html: str = "html") -> DataFrame:
     """One row per row of `df`: the key columns, `text` and `n_chars` (its code points).
 
     Every DOM node gets its characters per tag, adjusted for links; the densities of a node's children are summed; the
-    subtree of the largest sum is the main text. Scripts, styles, forms, menus, headers, footers, asides and elements
-    whose class, id or role names furniture are taken out before. Character references are decoded, white space within
+    subtree of the largest sum is the main text, with the parts beside it that are as dense, see `article`. Scripts, styles, forms, menus, headers, footers, asides and elements
+    whose class, id or role names furniture are taken out before, unless by such names nothing is left. Character references are decoded, white space within
     a block becomes one space, blocks are joined by one \\n; nothing is cut. NULL, empty and text-less pages give an
     empty text. Unclosed tags and truncated pages are read as far as they go; equal rows give equal texts; an empty
     table gives no rows; other columns are not read. One pass, no shuffle.

@@ -183,6 +183,27 @@ def test_main_text(html, text):
     assert html_density.main_text(html) == text
 
 
+SENTENCE = "Boats went down the river while the people on the bank were waiting for news of the harvest and the weather. "
+PARTS = [[f"Part {i} paragraph {j}. {SENTENCE * 2}".strip() for j in range(5)] for i in range(3)]
+
+
+@pytest.mark.parametrize("tag", ["section", "div"])
+def test_articles_in_sections_are_whole(tag):
+    inner = "<h1>Short title</h1>" + "".join(f"<{tag}>{''.join(f'<p>{p}</p>' for p in part)}</{tag}>" for part in PARTS)
+    links = f"<div><ul>{'<li><a href=1>One of the links</a></li>' * 30}</ul></div>"
+    assert html_density.main_text(f"<body>{links}<article>{inner}</article>{links}</body>") == "\n".join(["Short title", *sum(PARTS, [])])
+
+
+@pytest.mark.parametrize("name", ["content no-sidebar", "with-sidebar", "has-share", "post-header", "sidebar"])
+def test_wrappers_are_no_furniture(name):
+    assert html_density.main_text(f'<div class="{name}">{BODY}</div>') == MAIN
+
+
+def test_captions_stay():
+    html = "<article>" + "".join(f"<p>{p}</p>" for p in PARTS[0]) + "<figure><img src=x><figcaption>A boat.</figcaption></figure></article>"
+    assert html_density.main_text(html) == "\n".join([*PARTS[0], "A boat."])
+
+
 def test_pages_in_spark(spark):
     rows = [(1, "u", BODY, "x"), (1, "u", BODY, "x"), (None, None, None, "x"), (2, "v", f"<article><p>{LONG}</p></article>", "x")]
     found = html_density.extract_main_text(table(spark, rows, "page_id long, url string, html string, text string")).collect()
