@@ -105,18 +105,50 @@ class Damaged(Exception):
     """A member or record failed a check; the message is the reason."""
 
 
-def _inflate(data: memoryview, start: int) -> tuple[bytes, int]:
-    """The content of the gzip member at `start`, its checksum and length checked, and where it ends."""
+def _inflate(data: memoryview, start: int) -> tuple[bytes, int, str | None]:
+    """The content of the gzip member at `start`, where it ends, and None if its checksum and length are right; else what did
+    inflate, how far that goes, and the reason."""
     inflater, out, at = zlib.decompressobj(31), [], start
     try:
         while not inflater.eof:
             if at >= len(data):
-                raise Damaged("member is cut off")
+                return b"".join(out), at, "member is cut off"
             out.append(inflater.decompress(data[at:at + _FEED]))
             at = min(at + _FEED, len(data))
-    except zlib.error as error:
-        raise Damaged(f"member: {error}") from None
-    return b"".join(out), at - len(inflater.unused_data)
+    except zlib.error as error:  # the same again, then byte by byte, as a failing call gives nothing
+        inflater = zlib.decompressobj(31)
+        out = [inflater.decompress(data[i:i + _FEED]) for i in range(start, at, _FEED)]
+        try:
+            while True:
+                out.append(inflater.decompress(data[at:at + 1]))
+                at += 1
+        except zlib.error:
+            return b"".join(out), at, f"member: {error}"
+    return b"".join(out), at - len(inflater.unused_data), None
+
+
+def _inside(content: bytes, verify: bool) -> tuple[list[dict], list[str]]:
+    """The sound records of a member's content, and the gaps between, as text. After a failed check the next version line is
+    tried, and so on."""
+    found, gaps, at, gap, reason = [], [], 0, None, ""
+    while at < len(content):
+        try:
+            entry, end = _one(content, at, verify)
+        except Damaged as error:
+            if gap is None:
+                gap, reason = at, str(error)
+            at = content.find(b"WARC/", at + 1)
+            if at < 0:
+                break
+            continue
+        if gap is not None:
+            gaps.append(f"in a member, bytes {gap} to {at}: {reason}")
+            gap = None
+        found.append(entry)
+        at = end
+    if gap is not None:
+        gaps.append(f"in a member, bytes {gap} to {len(content)}: {reason}")
+    return found, gaps
 
 
 def _one(data: bytes, start: int, verify: bool) -> tuple[dict, int]:
@@ -159,40 +191,49 @@ def salvage(data: bytes, verify: bool = True) -> Iterator[tuple[int, int, dict |
     """Start, end and record of every sound record of an archive in order, or start, end and reason of a byte gap.
 
     Gzip members (one or several records each) and plain records may be mixed. After a failed check the next place that
-    looks like a member or version line is tried, and so on until one passes; the bytes between are one gap. A member
-    with an unsound record gives its records up to that and a gap for its whole range. Gaps and records cover the archive.
+    looks like a member or version line is tried, and so on until one passes; the bytes between are one gap. Inside a member
+    it is the same with its content: its sound records are given, and each inner gap as a gap with the member's range. Of a
+    damaged member the records in what did inflate are given, with the range that held them, and the rest is a gap that
+    names the inner ones. Gaps and records cover the archive.
     """
-    view, at, gap, reason = memoryview(data), 0, None, ""
+    view, at, gap, reason, held, reach = memoryview(data), 0, None, "", [], 0
+
+    def until(to: int) -> Iterator[tuple[int, int, dict | str]]:
+        edge = max(gap, min(reach, to - 1)) if held else gap
+        for entry in held:
+            yield gap, edge, entry
+        yield edge, to, reason
+
     while at < len(data):
-        found, wrong = [], None
-        try:
-            if data.startswith(_MAGIC, at):
-                content, end = _inflate(view, at)
-                inner = 0
-                try:
-                    while inner < len(content):
-                        entry, inner = _one(content, inner, verify)
-                        found.append(entry)
-                except Damaged as error:
-                    wrong = f"in a member: {error}"
-            else:
+        found, inner, wrong = [], [], None
+        if data.startswith(_MAGIC, at):
+            content, end, wrong = _inflate(view, at)
+            found, inner = _inside(content, verify)
+        else:
+            try:
                 entry, end = _one(data, at, verify)
-                found.append(entry)
-        except Damaged as error:
+                if at < reach and entry in held:  # stored in the damaged member that gave it
+                    wrong = "given already"
+                else:
+                    found.append(entry)
+            except Damaged as error:
+                wrong = str(error)
+        if wrong is None or found:
+            if gap is not None:
+                yield from until(at)
+            gap, held, reach = None, [], 0
+        if wrong is not None:
             if gap is None:
-                gap, reason = at, str(error)
+                gap, reason, held, reach = at, "; ".join([wrong, *inner]) if found else wrong, found, end if found else 0
             at = _next(data, at + 1)
             continue
-        if gap is not None:
-            yield gap, at, reason
-            gap = None
         for entry in found:
             yield at, end, entry
-        if wrong:
-            yield at, end, wrong
+        for lost in inner:
+            yield at, end, lost
         at = end
     if gap is not None:
-        yield gap, len(data), reason
+        yield from until(len(data))
 
 
 def _next(data: bytes, start: int) -> int:

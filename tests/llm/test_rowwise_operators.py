@@ -114,6 +114,27 @@ def test_salvage_checks_digests_and_mixed_files():
     assert names(b"")[0] == [] and names(b"\0" * 9) == ([], [(0, 9)])
 
 
+def test_salvage_inside_members():
+    rng = random.Random(7)
+    parts = [warc.record("response", f"urn:page:{i}", "2024-01-01T00:00:00Z", "u", bytes(rng.randrange(256) for _ in range(3000))) for i in range(8)]
+    wrong = parts[2].replace(b"HTTP/1.1 200", b"HTTP/1.1 500")
+    ids = lambda data: [x["head"]["warc-record-id"][10:-1] for *_, x in warc.salvage(data) if not isinstance(x, str)]
+    gaps = lambda data: [x for *_, x in warc.salvage(data) if isinstance(x, str)]
+    one = gzip.compress(b"".join([*parts[:2], wrong, *parts[3:]]))
+    assert ids(one) == list("0134567") and gaps(one) == [f"in a member, bytes {sum(map(len, parts[:2]))} to {sum(map(len, parts[:3]))}: warc-block-digest differs"]
+    whole = gzip.compress(b"".join(parts))
+    after = warc.member(parts[0].replace(b"urn:page:0", b"urn:page:9"))
+    for lost in (4, 9, len(whole) // 2):
+        got = ids(whole[:-lost])
+        assert got == list("01234567")[:8 if lost == 4 else len(got)] and len(got) >= (7 if lost < 10 else 3)
+        assert gaps(whole[:-lost])[0].startswith("member is cut off")
+        assert ids(whole[:-lost] + after)[-1] == "9" and set(got) <= set(ids(whole[:-lost] + after))
+    bad = whole[:-8] + b"\0\0\0\0" + whole[-4:]
+    assert names(bad + after)[0] == [f"<urn:page:{i}>" for i in (*range(8), 9)] and "incorrect data check" in gaps(bad)[0]
+    stored = gzip.compress(b"".join(parts), 0)[:-8]
+    assert ids(stored + after) == [*"01234567", "9"]
+
+
 TEXTS = [None, "", " ", "a", "Ça et là — 日本語 🙂\x00\x1f\x85", "  two  spaces\n\n\t x", "<|endoftext|> don't", LONG, LONG, "=" * 5000, "\ue000 ▁ Ġ"]
 
 
