@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import byte_bpe, decontaminate, html_density, jaccard, line_rules, neighbours, secrets, toxicity, urls, warc, whitening
+from tallyframe.llm import byte_bpe, decontaminate, html_density, jaccard, line_rules, neighbours, secrets, spelling, toxicity, urls, warc, whitening
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -125,6 +125,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
 
 
+@query("op12_bloom_variants")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.count_words(table(spark, sf_dir, "documents"), thinned=199))
+
+
 @query("op13_whitening")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")

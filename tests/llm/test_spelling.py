@@ -1,0 +1,156 @@
+"""Spelling variants against every two words compared, and words counted one by one."""
+
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyframe.llm import queries, spelling
+
+SF = "/root/testdata/sf0.01"
+
+
+def counted(rows, thinned=199):
+    found = Counter()
+    for key, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if key is None else key}:{run}".encode())
+            if thinned and h % thinned == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1:]
+            found[run] += 1
+    return {w: n for w, n in found.items() if len(w) >= 6 and n >= 5}
+
+
+def one_apart(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    if len(a) > len(b):
+        a, b = b, a
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def grouped(vocabulary, times=5):
+    """Every two words compared, but only where a half agrees, which one edit cannot avoid."""
+    blocks = {}
+    for w in vocabulary:
+        half = len(w) // 2
+        for size in {half, (len(w) - 1) // 2, (len(w) + 1) // 2}:
+            blocks.setdefault(("begin", w[:size]), set()).add(w)
+            blocks.setdefault(("end", w[len(w) - size:]), set()).add(w)
+    near = {w: set() for w in vocabulary}
+    for block in blocks.values():
+        block = sorted(block)
+        for i, a in enumerate(block):
+            for b in block[i + 1:]:
+                if one_apart(a, b):
+                    near[a].add(b)
+                    near[b].add(a)
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda o: (-vocabulary[o], o), default=None)
+        form[w] = best if best is not None and vocabulary[best] >= times * vocabulary[w] else None
+
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+
+    return sorted((w, form[w], root(w), n, len(near[w]), vocabulary.get(form[w])) for w, n in vocabulary.items())
+
+
+def answers(df):
+    return sorted(tuple(r) for r in df.select("word", "form", "root", "n", "n_near", "form_n").collect())
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", SF])
+def test_query_against_brute_force(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    want = grouped(counted([(r["doc_id"], r["text"]) for r in docs.collect()]))
+    got = queries.QUERIES["op12_bloom_variants"](spark, sf)
+    assert got.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    assert answers(got) == want and len(want) > 50
+
+
+def planted(seed, size, alphabet):
+    """Words with many neighbours, among them runs of one letter and chains of forms."""
+    rng = random.Random(seed)
+    words = {}
+    for _ in range(size):
+        w = "".join(rng.choice(alphabet) for _ in range(rng.randint(1, 9)))
+        words[w] = rng.choice([5, 5, 6, 25, 30, 125, 130, 700])
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(w))
+            v = rng.choice([w[:at] + w[at + 1:], w[:at] + rng.choice(alphabet) + w[at:], w[:at] + rng.choice(alphabet) + w[at + 1:]])
+            if v:
+                words.setdefault(v, rng.choice([5, 6, 25, 125]))
+    words["a" * 12], words["a" * 13], words["a" * 11 + "b"] = 5, 25, 700
+    return words
+
+
+@pytest.mark.parametrize("max_bytes", [64 << 20, 200_000])
+@pytest.mark.parametrize("alphabet", ["ab", "abcdefghijkléÿ", "ab中文\U0001f600"])
+def test_variants_of_planted_words(spark, alphabet, max_bytes):
+    words = planted(len(alphabet), 400, alphabet)
+    table = spark.createDataFrame(list(words.items()), "word string, n long").repartition(5)
+    assert answers(spelling.group_variants(table, max_filter_bytes=max_bytes)) == grouped(words)
+
+
+def test_a_small_filter_takes_several_passes():
+    lengths = {7: 40_000, 8: 90_000, 9: 10}
+    one, many = spelling.plan_shards(lengths, 64 << 20), spelling.plan_shards(lengths, 100_000)
+    assert one.passes == 1 and many.passes > 1 and many.total < one.total
+    assert many.total * 64 <= 100_000
+    assert spelling.plan_shards(lengths, 1).passes > many.passes  # as small as it gets
+
+
+def test_filters_rule_nothing_out_that_is_there(spark):
+    words = ["".join(random.Random(i).choice("abcdefgh") for _ in range(8)) for i in range(4000)]
+    table = spark.createDataFrame([(w, 5) for w in set(words)], "word string, n long")
+    shards = spelling.plan_shards({8: len(set(words))}, 64 << 20)
+    lanes = spelling.build_filter(table, shards, 0)
+    assert len(spelling._present(lanes, shards, spelling.word_codes(words), 8, 0)) == len(words)
+    others = ["".join(random.Random(-1 - i).choice("ijklmnop") for _ in range(8)) for i in range(20_000)]
+    assert len(spelling._present(lanes, shards, spelling.word_codes(others), 8, 0)) < 0.01 * len(others)
+
+
+def test_words_are_counted_whole(spark):
+    long_run = "Q" * 300_000
+    rows = [(1, "Wonder WONDER wonder, wonÉder×x wonderΔwonder"), (2, None), (3, ""), (None, "wonder " * 3000), (None, "wonder"),
+            (1, "Wonder WONDER wonder, wonÉder×x wonderΔwonder")] + [(9, long_run)] * 5 + [(10, f"x{long_run[1:]}")] * 30
+    docs = spark.createDataFrame([(a, b, 7, "w") for a, b in rows], "doc_id long, text string, n int, word string")
+    for thinned in (None, 3, 199):
+        got = {r["word"]: r["n"] for r in spelling.count_words(docs, thinned=thinned).collect()}
+        assert got == counted(rows, thinned)
+    vocabulary = spelling.count_words(docs)
+    assert answers(spelling.group_variants(vocabulary)) == grouped({r["word"]: r["n"] for r in vocabulary.collect()})
+
+
+def test_nothing_to_group(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert answers(spelling.group_variants(spelling.count_words(docs))) == []
+    odd = spark.createDataFrame([(None, 5), ("", 9), ("alone", 7)], "word string, n long")
+    got = {r["word"]: (r["form"], r["root"], r["n_near"]) for r in spelling.group_variants(odd).collect()}
+    assert got == {None: (None, None, 0), "": (None, "", 0), "alone": (None, "alone", 0)}
+
+
+def test_only_candidates_are_shuffled(spark):
+    """What reaches the exact join is near the number of true pairs, not of edits tried."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    vocabulary = spelling.count_words(docs, thinned=199).cache()
+    lengths = {r[0]: r[1] for r in vocabulary.groupBy(F.length("word")).count().collect()}
+    shards = spelling.plan_shards(lengths, 64 << 20)
+    import numpy as np
+    alphabet = np.array(sorted({ord(c) for r in vocabulary.collect() for c in r["word"]}), np.uint32)
+    lanes = spelling.build_filter(vocabulary, shards, 0)
+    candidates = spelling.near_candidates(vocabulary, alphabet, lanes, shards, 0).count()
+    pairs = spelling.near_pairs(vocabulary).count()
+    tried = sum(n * length * (len(alphabet) + 1) for length, n in lengths.items())
+    assert pairs <= candidates <= pairs + 0.01 * tried
+    vocabulary.unpersist()
