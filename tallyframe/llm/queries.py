@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import byte_bpe, decontaminate, html_density, jaccard, line_rules, neighbours, secrets, spelling, toxicity, urls, warc, whitening
+from tallyframe.llm import byte_bpe, decontaminate, html_density, jaccard, line_rules, mixing, neighbours, secrets, spelling, toxicity, urls, warc, whitening
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -125,6 +125,51 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
 
 
+#: The same mix by windows over whole sources: words as in the contract, targets by resharing 60 times, budgets by running sums.
+_MIX_SQL = r"""
+with recursive texts as (
+  select doc_id, source, coalesce(text, '') as text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words,
+         md5('mix:' || coalesce(doc_id::varchar, '') || ':' || coalesce(text, '')) as digest
+  from documents),
+measured as (
+  select doc_id, source, len(words)::bigint as size,
+         -ln((cast('0x' || substr(digest, 1, 13) as bigint) + 0.5::double) / 4503599627370496.0::double)
+         / case when len(words) = 0 then 0.05::double else
+             greatest(0.05::double, length(translate(text, '0123456789#*$%&|<>{}[]_=+/\^~`@', '')) / length(text)
+                      * (ln(len(list_distinct(words)) + 1.0::double) / ln(len(words) + 1.0::double))) end as turn,
+         cast('0x' || substr(digest, 14, 15) as bigint) as tie
+  from texts),
+sources as (
+  select source, sum(size)::bigint as source_size,
+         (row_number() over (order by source collate "C" nulls last) - 1) % 3 + 1 as share
+  from measured group by source),
+rates as (
+  select 0 as step, (select sum(source_size) / sum(share) from sources)::double as rate
+  union all
+  select step + 1,
+         (((select sum(source_size) from sources) - sum(case when rate * share > 3 * source_size then 3 * source_size else 0 end))
+          / sum(case when rate * share > 3 * source_size then 0 else share end))::double
+  from rates, sources where step < 60 group by step, rate),
+targets as (
+  select source, source_size, least(rate * share, (3 * source_size)::double) as target
+  from sources, rates where step = 60),
+planned as (
+  select *, case when source_size > 0 then floor(target / source_size) else 0 end::bigint as epochs from targets),
+placed as (
+  select m.*, p.source_size, p.target, p.epochs,
+         coalesce(sum(size) over (partition by m.source order by turn, tie rows between unbounded preceding and 1 preceding), 0) as before
+  from measured m join planned p on m.source is not distinct from p.source)
+select doc_id, source, size, source_size, target, epochs,
+       (epochs * size + greatest(0, least(size, floor(target - epochs * source_size + 0.5) - before)))::bigint as taken
+from placed"""
+
+
+@query("op11_exponential_mix", _MIX_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 @query("op12_bloom_variants")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(spelling.count_words(table(spark, sf_dir, "documents"), thinned=199))
