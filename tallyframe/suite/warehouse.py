@@ -427,7 +427,7 @@ def ingest_available_now(spark: SparkSession, sf: str) -> DataFrame:
     raw = VersionedTable(spark, shared_path(spark, "raw"), "substr(created_date, 1, 10)")
     once, anew = shared_path(spark, "checkpoint"), shared_path(spark, "checkpoint")
     for run, rows, checkpoint, at_most in (
-        ("first", early, once, None), ("second", late, once, None), ("nothing-new", None, once, None), ("rest", rest, anew, 2)
+        ("first", early, once, 100), ("second", late, once, 100), ("nothing-new", None, once, 100), ("rest", rest, anew, 2)
     ):
         if rows is not None:
             land(rows, landing, run)
@@ -594,7 +594,7 @@ def _loaded(
     for day in (1, 2):
         _land_day(spark, sf, landing, day)
         ingest_landed(spark, landing, warehouse.raw, warehouse.cursors, f"{warehouse.root}/bronze/checkpoint",
-                      source="requests", rejected=warehouse.rejected)
+                      source="requests", rejected=warehouse.rejected, ledger=warehouse.ledger)
         then(warehouse, day)
     return warehouse
 
@@ -616,6 +616,17 @@ def rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
     return found.groupBy("created_date", "status").agg(F.sum("copies").alias("copies"))
 
 
+@query("landed_ledger", f"""
+with {_LANDED_SQL}
+select day::integer as day, count(*) as records, true as has_status from landed group by day
+""")
+def landed_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """What the account of loaded files says of either day's landing: its rows, and whether its files have a status."""
+    files = _loaded(spark, sf).ledger.read()
+    day = F.regexp_extract("path", "/day-([0-9]+)/", 1).cast("int").alias("day")
+    return files.groupBy(day).agg(F.sum("records").alias("records"), F.bool_and(F.array_contains("columns", "status")).alias("has_status"))
+
+
 @query("cursor_after_runs", f"""
 with {_LANDED_SQL}
 select 0 as day, timestamp '2023-01-01' as last_run_date

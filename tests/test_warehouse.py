@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 from datetime import date, datetime
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from helpers import rows
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ from tallyframe.plans.validation import closed_before_created, outside_the_city
 from tallyframe.sources import CursorStore, VersionedTable, as_text_columns, keyset_page, land, scan_landed, settle
 from tallyframe.sources.seeds import community_areas, ward_versions
 from tallyframe.sources.shared import settled_scope, shared_root
-from tallyframe.streaming.ingest import ingest_landed
+from tallyframe.streaming.ingest import LEDGER_SLOT, ingest_landed
 
 T1, T2, T3 = datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 3)
 
@@ -491,3 +493,42 @@ def test_nothing_without_a_key_is_missing_from_the_fact(spark):
     staged = spark.createDataFrame([("a", 1, None), ("b", 2, 5), (None, 3, 5), ("c", None, None)], "sr_id string, x int, y int")
     fact = spark.createDataFrame([("a", 1, None), ("b", 2, 6)], "sr_id string, x int, y int")
     assert rows(not_held(staged, fact, columns=["x", "y"]).select("sr_id")) == [("b",), ("c",)]
+
+
+def test_only_what_is_new_is_opened(spark, folder):
+    """A thousand loaded files are spoilt, so opening one would stop the load; a new one with a further column still loads."""
+    from pathlib import Path
+
+    target, ledger, landing = VersionedTable(spark, f"{folder}/raw"), VersionedTable(spark, f"{folder}/ledger", LEDGER_SLOT), Path(folder, "in")
+    first = pa.table({"sr_number": ["1"], "last_modified_date": ["2024-01-01"]})
+    for i in range(1000):
+        os.makedirs(landing / f"run {i // 100}", exist_ok=True)
+        pq.write_table(first.set_column(0, "sr_number", [[str(i)]]), landing / f"run {i // 100}" / f"{i}.parquet")
+
+    def run():
+        ingest_landed(spark, str(landing), target, None, f"{folder}/check", ledger=ledger)
+
+    run()
+    assert target.count() == 1000 == ledger.count()
+    for i in range(1000):
+        (landing / f"run {i // 100}" / f"{i}.parquet").write_bytes(b"no parquet any more")
+    os.makedirs(landing / "x=1 [late] {a*}?")
+    pq.write_table(pa.table({"sr_number": ["7", "new", None], "last_modified_date": ["2024-01-02"] * 3, "extra": [1, 2, 3]}),
+                   landing / "x=1 [late] {a*}?" / "%41 b.parquet")
+    run()
+    run()
+    assert rows(target.read().where("extra is not null").select("sr_number", "extra")) == [("7", "1"), ("new", "2")]
+    added = ledger.read().where("records = 3").collect()
+    assert len(added) == 1 and added[0]["columns"] == ["sr_number", "last_modified_date", "extra"] and ledger.count() == 1001
+    assert added[0]["size"] > 0 and added[0]["path"].endswith("b.parquet")
+
+
+def test_a_batch_may_lack_columns_of_the_table(spark, folder):
+    target, lost = VersionedTable(spark, f"{folder}/raw"), VersionedTable(spark, f"{folder}/lost")
+    for run, text in enumerate(["sr_number string, last_modified_date string, a string", "sr_number string, last_modified_date string, b int",
+                                "last_modified_date string, c string"]):
+        spark.createDataFrame([("1" if "sr_" in text else "2024-01-09", f"2024-01-0{run + 1}", run)[-text.count(",") - 1:]
+                               if "sr_" in text else ("2024-01-09", "x")], text).write.parquet(f"{folder}/in/{run}")
+        ingest_landed(spark, f"{folder}/in", target, None, f"{folder}/check", rejected=lost)
+    assert rows(target.read().select("sr_number", "last_modified_date", "a", "b")) == [("1", "2024-01-02", None, "1")]
+    assert rows(lost.read().select("last_modified_date", "c")) == [("2024-01-09", "x")]
