@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions import calendar_columns
 from tallyframe.operators.positions import dense_ids
+from tallyframe.sources.partials import grouped, with_part
 from tallyframe.sources.seeds import DEFAULT_CITY, DEFAULT_STATE
 
 # The calendar covers these days, both included, and an address has these parts.
@@ -25,22 +26,20 @@ def calendar_of(bounds: DataFrame) -> DataFrame:
     return days.select(*calendar_columns(F.col("day")))
 
 
+def addresses(staged: DataFrame) -> DataFrame:
+    """Distinct addresses with their greatest city and state, per slot where the rows name one; mergeable."""
+    return grouped(staged.where(F.col("street_name").isNotNull()), *ADDRESS).agg(F.max("city").alias("city"), F.max("state").alias("state"))
+
+
 def locations(
-    staged: DataFrame, known: DataFrame | None = None, city: str = DEFAULT_CITY, state: str = DEFAULT_STATE
+    found: DataFrame, known: DataFrame | None = None, city: str = DEFAULT_CITY, state: str = DEFAULT_STATE
 ) -> DataFrame:
-    """Distinct addresses with a number each, in address order; NULL parts sort last.
+    """Distinct addresses, of staged requests or of `addresses`, with a number each, in address order; NULL parts sort last.
 
     Addresses found in the `known` table keep their number and new ones are numbered after the greatest, since facts
     already stored refer to those numbers.
     """
-    found = (
-        staged.where(F.col("street_name").isNotNull())
-        .groupBy(*ADDRESS)
-        .agg(
-            F.coalesce(F.max("city"), F.lit(city)).alias("city"),
-            F.coalesce(F.max("state"), F.lit(state)).alias("state"),
-        )
-    )
+    found = addresses(found).withColumns({"city": F.coalesce("city", F.lit(city)), "state": F.coalesce("state", F.lit(state))})
     columns = ["location_id", *ADDRESS, "city", "state"]
     order = [F.col(c).asc_nulls_last() for c in _ADDRESS_ORDER]
     if known is None:
@@ -54,17 +53,22 @@ def locations(
     return kept.unionByName(added.withColumn("location_id", F.col("location_id") + greatest)).select(*columns)
 
 
+def newest_names(staged: DataFrame) -> DataFrame:
+    """Each code's most recently modified name with its time, per slot where the rows name one; mergeable."""
+    named = staged.where(F.col("sr_short_code").isNotNull())
+    newest = F.max(F.struct("last_modified_date", "service_request_type"))
+    return grouped(named, "sr_short_code").agg(newest.alias("newest")).select(*with_part(staged), "sr_short_code", "newest.*")
+
+
 def request_types(staged: DataFrame, one_name: bool = True) -> DataFrame:
-    """Type codes with their name.
+    """Type codes with their name, of staged requests or of `newest_names`.
 
     A code found under two names would double its requests in every join, so the most recently modified name is kept;
     `one_name=False` keeps all pairs.
     """
-    named = staged.where(F.col("sr_short_code").isNotNull())
     if not one_name:
-        return named.select("sr_short_code", "service_request_type").distinct()
-    newest = F.max(F.struct("last_modified_date", "service_request_type"))["service_request_type"]
-    return named.groupBy("sr_short_code").agg(newest.alias("service_request_type"))
+        return staged.where(F.col("sr_short_code").isNotNull()).select("sr_short_code", "service_request_type").distinct()
+    return newest_names(staged).select("sr_short_code", "service_request_type")
 
 
 def areas(seed: DataFrame) -> DataFrame:
@@ -72,4 +76,5 @@ def areas(seed: DataFrame) -> DataFrame:
 
 
 def wards(staged: DataFrame) -> DataFrame:
-    return staged.where(F.col("ward").isNotNull()).select("ward").distinct()
+    """Distinct wards, per slot where the rows name one; mergeable."""
+    return staged.where(F.col("ward").isNotNull()).select(*with_part(staged), "ward").distinct()

@@ -71,8 +71,8 @@ def staged_column(raw: str, name: str, treatment: str) -> Column:
     return _TREATMENTS[treatment](F.col(raw)).alias(name)
 
 
-def stage(raw: DataFrame) -> DataFrame:
-    """The typed view of the raw table; a column the raw table lacks is NULL."""
+def stage(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The typed view of the raw table; a column the raw table lacks is NULL. `keep` names columns to carry along as they are."""
     for name in set(RAW_COLUMNS) - set(raw.columns):
         raw = raw.withColumn(name, F.lit(None).cast("string"))
-    return raw.select(*[staged_column(*spec) for spec in STAGED_COLUMNS])
+    return raw.select(*[staged_column(*spec) for spec in STAGED_COLUMNS], *keep)
