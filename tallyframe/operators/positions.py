@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallyframe.sources.shared import settle
 
 _MARK, _RANGE, _OFFSET, _START = "position_mark", "position_range", "position_offset", "position_start"
-_ROW_BITS = 33  # monotonically_increasing_id keeps the row count of a partition in the lower 33 bits
+ROW_BITS = 33  # monotonically_increasing_id keeps the row count of a partition in the lower 33 bits
 
 
 def dense_ids(df: DataFrame, order: list[Column], name: str) -> DataFrame:
@@ -22,8 +22,8 @@ def dense_ids(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     frozen = settle(ranged.withColumn(_MARK, F.monotonically_increasing_id()), "positions")
     placed = frozen.select(
         *df.columns,
-        F.shiftright(_MARK, _ROW_BITS).alias(_RANGE),
-        F.col(_MARK).bitwiseAND(F.lit(2**_ROW_BITS - 1)).alias(_OFFSET),
+        F.shiftright(_MARK, ROW_BITS).alias(_RANGE),
+        F.col(_MARK).bitwiseAND(F.lit(2**ROW_BITS - 1)).alias(_OFFSET),
     )
     # one row per range, that is per shuffle partition: small enough to sort in one task and to broadcast
     sizes = placed.groupBy(_RANGE).agg((F.max(_OFFSET) + 1).alias("rows"))
