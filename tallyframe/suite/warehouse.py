@@ -12,7 +12,7 @@ from tallyframe.functions import hours_crossed, iso_text, round_half_away, safe_
 from tallyframe.functions.dates import days_crossed
 from tallyframe.operators import quality
 from tallyframe.operators.history import VALID_FROM, VALID_TO, latest_version, opened, scd2_backfill, scd2_snapshot
-from tallyframe.operators.joins import asof_join
+from tallyframe.operators.joins import asof_join, asof_merge
 from tallyframe.operators.repeats import flag_repeats
 from tallyframe.operators.upsert import latest_per_key, upsert
 from tallyframe.plans import dimensions, marts
@@ -774,3 +774,40 @@ def daily_run_query(spark: SparkSession, sf: str) -> DataFrame:
     warehouse = _two_days(spark, sf)
     places = warehouse.gold("locations").read().select("location_id", "street_number", "street_name", "city")
     return warehouse.fact.read().join(places, "location_id", "left").drop("location_id")
+
+
+@query("daily_repeats", f"""
+with {BUILT_FACT_SQL},
+placed as (
+  select *, cast(floor(date_diff('day', date '1970-01-01', cast(created_date as date)) / 14.0) as bigint) as time_slice
+  from built where sr_id is not null and location_id is not null and sr_short_code not in ('311IOC', 'AVN')
+),
+seen as (
+  select *, lag(created_date) over (partition by location_id, sr_short_code order by created_date nulls last, sr_id) as before
+  from placed
+)
+select t.service_request_type, sr_short_code, time_slice, count(*) as total_requests,
+       cast(sum(case when created_date <= before + interval 14 day then 1 else 0 end) as bigint) as repeats
+from seen join types t using (sr_short_code) group by all
+""")
+def daily_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests and repeats of each type and two weeks as the warehouse keeps them after two days; only what the second day
+    touches is made anew on it."""
+    warehouse = _two_days(spark, sf)
+    totals = warehouse.repeats.read().withColumnRenamed("rows", "total_requests")
+    return totals.join(warehouse.gold("types").read(), "sr_short_code")
+
+
+@query("asof_long_history", """
+with marks as (select event_type as kind, ts as since, max(event_id) as mark from events where user_id % 10 = 0 group by all),
+lasting as (select *, lead(since) over (partition by kind order by since) as until from marks)
+select e.event_id, e.event_type, e.ts, m.mark as last_mark
+from events e left join lasting m
+  on m.kind = e.event_type and m.since <= e.ts and (m.until is null or e.ts < m.until)
+""")
+def asof_long_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Each event with the last one of its type, so far, that a user of every tenth number made: few keys, very many versions."""
+    events = table(spark, sf, "events").select("event_id", "event_type", "ts", "user_id")
+    marks = events.where("user_id % 10 = 0").groupBy("event_type", F.col("ts").alias("since")).agg(F.max("event_id").alias("last_mark"))
+    lasting = marks.withColumn("until", F.lit(None).cast("timestamp_ntz"))
+    return asof_merge(events.drop("user_id"), lasting, "event_type", "ts", "since", "until", ["last_mark"])
