@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 # The marks stripped from both ends of a word, and the characters that separate words, which are all of
 # Unicode's white space and four separators beside it.
 MARKS = ".,!?;:'\"()-"
+_ASCII_SPACES = r"[\t-\r\x1C-\x20]+"
 _SPACES = r"[\t-\r\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]+"
 
 
@@ -41,8 +42,10 @@ def words(text: Column) -> Column:
 
 
 def split_words(text: Column) -> Column:
-    """As `words`, but white space at either end of the text leaves an empty word there."""
-    return F.split(text, _SPACES)
+    """As `words`, but white space at either end of the text leaves an empty word there. A text of ASCII only is split by the
+    plain class, which is quicker."""
+    plain = F.octet_length(text) == F.length(text)
+    return F.when(plain, F.split(text, _ASCII_SPACES)).otherwise(F.split(text, _SPACES))
 
 
 def part_before(text: Column, mark: str) -> Column:

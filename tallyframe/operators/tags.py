@@ -17,12 +17,13 @@ def sharing_with(pairs: DataFrame, item: str, tag: str, target: DataFrame, at_le
     """Other items sharing at least that many tags with the target item, and how many they share.
 
     `target` has the one target item in its `item` column. Work grows with the rows carrying one of the target's tags;
-    items are never compared with each other. The pairs are made distinct and stored first, so what yields them runs once.
+    items are never compared with each other. The target's tags come first and are stored; of the other rows only those with
+    one of them are made distinct.
     """
-    distinct, target = settle(pairs.select(item, tag).distinct(), "tag-pairs"), target.select(item)
-    own = distinct.join(target, item, "left_semi").select(tag).distinct()
-    others = distinct.join(target, item, "left_anti")
-    shared = others.join(own, tag, "left_semi").groupBy(item).agg(F.count(F.lit(1)).alias("shared_tags"))
+    pairs, target = pairs.select(item, tag), target.select(item)
+    own = settle(pairs.join(target, item, "left_semi").select(tag).distinct(), "target-tags")
+    others = pairs.join(own, tag, "left_semi").join(target, item, "left_anti").distinct()
+    shared = others.groupBy(item).agg(F.count(F.lit(1)).alias("shared_tags"))
     return shared.where(F.col("shared_tags") >= at_least)
 
 
