@@ -16,7 +16,7 @@ from tallyframe.llm.components import components
 from tallyframe.llm.rowwise import ascii_words, mixed, per_text, shingle_hashes, word_hashes
 from tallyframe.sources.shared import settle
 
-_GROUPS = 32  #: coordinates of a count vector
+_LEAST_BITS = 5  #: of the number of groups of a count vector
 _LEAF = 32
 _ANCHORS = 32
 
@@ -80,9 +80,20 @@ def block_keys(hashes: np.ndarray, limit: Threshold) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def counts(hashes: np.ndarray) -> np.ndarray:
-    """How many elements fall into each group of the hash range."""
-    return np.bincount((mixed(hashes) >> np.uint64(40)).astype(np.int64) % _GROUPS, minlength=_GROUPS).astype(np.int32)
+def counts(hashes: np.ndarray) -> bytes | None:
+    """How many elements fall into each group of the hash range: one byte a group, a power of two of groups so that about eight to
+    sixteen elements fall into one, as fewer groups would not tell long sets apart. Nothing where a count exceeds a byte."""
+    bits = max(_LEAST_BITS, (max(len(hashes) // 8, 1) - 1).bit_length())
+    found = np.bincount((mixed(hashes) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return found.astype(np.uint8).tobytes() if found.max(initial=0) < 256 else None
+
+
+def folded(vectors: list[bytes | None]) -> np.ndarray | None:
+    """Vectors as points of one dimension, the least among them: neighbouring groups are added up. None if one is missing."""
+    if any(v is None for v in vectors):
+        return None
+    least = min(map(len, vectors))
+    return np.stack([np.frombuffer(v, np.uint8).reshape(least, -1).sum(1, dtype=np.int32) for v in vectors])
 
 
 class RTree:
@@ -138,8 +149,10 @@ def forest(sets: list[np.ndarray], label: np.ndarray, limit: Threshold, ask: np.
 
     `label` tells what is joined already and is updated; only the points in `ask` are looked up.
     """
-    points = np.array([counts(s) for s in sets])
+    points = folded([counts(s) for s in sets])
     sizes = np.array([len(s) for s in sets])
+    if points is None:  # sets so odd that their counts exceed a byte are compared one by one
+        points = sizes[:, None]
     tree, found = RTree(points, sizes), []
     for point in (range(len(sets)) if ask is None else ask.tolist()):
         for other in tree.candidates(point, limit, label):
@@ -153,6 +166,17 @@ def forest(sets: list[np.ndarray], label: np.ndarray, limit: Threshold, ask: np.
     return found
 
 
+def clusters(sizes: np.ndarray, vectors: list[bytes | None], limit: Threshold) -> np.ndarray:
+    """A label for each set, shared by those that a chain of pairs joins whose summed coordinate minima reach the overlap they need."""
+    points = folded(vectors)
+    label = np.arange(len(sizes))
+    tree = RTree(sizes[:, None] if points is None else points, sizes)
+    for point in range(len(sizes)):
+        for other in tree.candidates(point, limit, label):
+            label[label == label[other]] = label[point]
+    return label
+
+
 def element_set(text: str | None, size: int) -> np.ndarray:
     """Sorted hashes of the distinct runs of `size` words."""
     return np.unique(shingle_hashes(word_hashes(ascii_words(text)), size))
@@ -169,30 +193,39 @@ def _digest(hashes: np.ndarray) -> tuple[int, int]:
     return tuple(_signed(mixed(pair + np.uint64(len(hashes)))).tolist())
 
 
-def fingerprints(
-    df: DataFrame, key: str | Sequence[str], text: str, size: int, limit: Threshold, with_keys: bool = True,
-) -> DataFrame:
-    """The key columns, n, two halves of the set's digest, and its block keys or NULL, one row per row of `df`."""
-    fields = [T.StructField(n, T.LongType()) for n in ("n", "h1", "h2")] + [T.StructField("keys", T.ArrayType(T.LongType()))]
+def fingerprints(df: DataFrame, key: str | Sequence[str], text: str, size: int) -> DataFrame:
+    """The key columns, n, two halves of the set's digest, and its count vector, one row per row of `df`."""
+    fields = [T.StructField(n, T.LongType()) for n in ("n", "h1", "h2")] + [T.StructField("vector", T.BinaryType())]
 
     def setup():
         def work(texts):
-            rows = []
-            for t in texts:
-                s = element_set(t, size)
-                rows.append((len(s), *_digest(s), _signed(block_keys(s, limit)) if with_keys else None))
-            return list(zip(*rows, strict=True))
+            sets = [element_set(t, size) for t in texts]
+            return list(zip(*((len(s), *_digest(s), counts(s)) for s in sets), strict=True))
 
         return work
 
     return per_text(df, key, text, fields, setup)
 
 
+def block_key_lists(df: DataFrame, key: str, text: str, size: int, limit: Threshold) -> DataFrame:
+    """The digest and the block keys of every row with a key and words."""
+    fields = [T.StructField(n, T.LongType()) for n in ("n", "h1", "h2")] + [T.StructField("keys", T.ArrayType(T.LongType()))]
+
+    def setup():
+        def work(texts):
+            sets = [element_set(t, size) for t in texts]
+            return list(zip(*((len(s), *_digest(s), _signed(block_keys(s, limit))) for s in sets), strict=True))
+
+        return work
+
+    return per_text(df.where(F.col(f"`{key}`").isNotNull()), key, text, fields, setup).where("n > 0")
+
+
 _LINKS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
 def _search(rows: DataFrame, size: int, limit: Threshold) -> DataFrame:
-    """Links found by an R-tree per task key. rows: task, id, h1, h2, label, asks, text, sorted by task in each partition."""
+    """Links found by an R-tree per task key. rows: task, cls, h1, h2, label, asks, text, sorted by task in each partition."""
 
     def flush(held: dict) -> Iterator[pa.RecordBatch]:
         if len(held) > 1:
@@ -213,94 +246,98 @@ def _search(rows: DataFrame, size: int, limit: Threshold) -> DataFrame:
                     if r["task"] != task:
                         yield from flush(held)
                         task, held = r["task"], {}
+                    if r["cls"] in held:
+                        held[r["cls"]][2] |= r["asks"]
+                        continue
                     s = element_set(r["text"], size)
                     if _digest(s) == (r["h1"], r["h2"]):  # an id may repeat with another text
-                        asks = r["asks"] or r["id"] in held and held[r["id"]][2]
-                        held[r["id"]] = (s, r["label"], asks)
+                        held[r["cls"]] = [s, r["label"], r["asks"]]
         yield from flush(held)
 
     return rows.repartition("task").sortWithinPartitions("task").mapInArrow(run, _LINKS)
 
 
-_SHARING = T.StructType(_LINKS.fields + [T.StructField("k", T.LongType())])
-
-
-def _sharing(keyed: DataFrame) -> DataFrame:
-    """Links a, b between holders of one key, from rows (k, rep): each holder with the first of its key.
-
-    Rows are dealt by ranges of key and holder, so a key that many hold is spread over tasks like any other rows, and move
-    once. Where a key goes on in the next task, its first holder in each task is linked by a small aggregate over two rows
-    a task.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = head = first = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            k, rep = (batch.column(i).to_numpy() for i in range(2))
-            new = np.concatenate([[key is None or k[0] != key], k[1:] != k[:-1]])
-            place = np.maximum.accumulate(np.where(new, np.arange(len(k)), -1))
-            heads = np.where(place >= 0, rep[place], rep[0] if head is None else head)
-            first = (int(k[0]), int(heads[0])) if first is None else first
-            key, head = int(k[-1]), int(heads[-1])
-            pairs = np.unique(np.stack([rep, heads])[:, rep != heads], axis=1)
-            if pairs.size:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(pairs[0]), pa.array(pairs[1]), pa.nulls(pairs.shape[1], pa.int64())], names=_SHARING.names)
-        if first is not None:
-            ends = [first, (key, head)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([h for _, h in ends]), pa.array([h for _, h in ends]), pa.array([k for k, _ in ends])], names=_SHARING.names)
-
-    dealt = keyed.select("k", "rep").repartitionByRange("k", "rep").sortWithinPartitions("k", "rep")
-    found = settle(dealt.mapInArrow(run, _SHARING).distinct(), "sharing")
-    ends = found.where("k is not null").groupBy("k").agg(F.min("a").alias("b"), F.max("a").alias("a")).where("a <> b")
-    over = found.where("k is not null").select("k", "a").join(ends.select("k", "b"), "k").where("a <> b").select("a", "b")
-    return found.where("k is null").select("a", "b").unionAll(over)
-
-
-def _heights(sized: DataFrame) -> DataFrame:
-    return sized.groupBy("block").agg(F.count("*").alias("rows"), F.sum("n").alias("elements"))
-
-
 def _shared_keys(keyed: DataFrame) -> DataFrame:
-    """The rows (k, rep) whose key has several holders, and those of the first and the last key of a task, which may go on
-    in another. Dealt as in `_sharing`; most keys of unlike documents have one holder, so little is left."""
+    """The rows (k, cls) whose key has several holders, and those of the first and the last key of a task, which may go on
+    in another. Rows are dealt by ranges of key and holder, so a key that many hold is spread over tasks, and move once; most
+    keys of unlike documents have one holder, so little is left."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = before = None
-        k = rep = np.zeros(0, np.int64)  # the last row so far, kept back until the next one is known
+        k = cls = np.zeros(0, np.int64)  # the last row so far, kept back until the next one is known
         for batch in batches:
             if not batch.num_rows:
                 continue
-            k, rep = (np.concatenate([kept, batch.column(i).to_numpy()]) for i, kept in enumerate((k, rep)))
+            k, cls = (np.concatenate([kept, batch.column(i).to_numpy()]) for i, kept in enumerate((k, cls)))
             first = k[0] if first is None else first
             same = k[1:] == k[:-1]
             shared = np.concatenate([[before is not None and before == k[0]], same[:-1]]) | same if len(same) else same
             keep = shared | (k[:-1] == first)
             if keep.any():
-                yield pa.RecordBatch.from_arrays([pa.array(k[:-1][keep]), pa.array(rep[:-1][keep])], names=["k", "rep"])
+                yield pa.RecordBatch.from_arrays([pa.array(k[:-1][keep]), pa.array(cls[:-1][keep])], names=["k", "cls"])
             before = k[-2] if len(k) > 1 else before
-            k, rep = k[-1:], rep[-1:]
+            k, cls = k[-1:], cls[-1:]
         if len(k):
-            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(rep)], names=["k", "rep"])
+            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(cls)], names=["k", "cls"])
 
-    dealt = keyed.select("k", "rep").repartitionByRange("k", "rep").sortWithinPartitions("k", "rep")
-    return dealt.mapInArrow(run, "k bigint, rep bigint")
+    dealt = keyed.select("k", "cls").repartitionByRange("k", "cls").sortWithinPartitions("k", "cls")
+    return dealt.mapInArrow(run, "k bigint, cls bigint")
 
 
-def _buckets(keyed: DataFrame, sized: DataFrame) -> DataFrame:
-    """Blocks of the holders of each key in place of a chain of keys; of keys with the same holders, one."""
-    held = settle(_shared_keys(keyed), "held")
-    same = held.groupBy("k").agg(F.count("*").alias("c"), F.sum(F.xxhash64("rep") % (1 << 40)).alias("s"), F.min("rep").alias("m"))
-    kept = same.where("c > 1").groupBy("c", "s", "m").agg(F.min("k").alias("k")).select("k")
-    block = F.struct(F.lit(1).alias("kind"), F.col("k").alias("at")).alias("block")
-    return held.join(kept, "k").join(sized.drop("block"), "rep").select(block, "rep", "h1", "h2", "n")
+_NEAR = T.StructType([T.StructField(n, T.LongType()) for n in ("k", "cls", "head")])
+
+
+def _near(held: DataFrame, classes: DataFrame, limit: Threshold, group_rows: int) -> DataFrame:
+    """Rows (k, cls, head): holders of a key that count vectors do not rule out as linked, each with a head of its cluster.
+
+    Of keys with the same holders one is enough. A key of more than `group_rows` holders is one cluster, as it is.
+    """
+    same = held.groupBy("k").agg(
+        F.count("*").alias("c"), F.bit_xor(F.xxhash64("cls")).alias("x"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y"),
+        F.min("cls").alias("head"))
+    kept = settle(same.where("c > 1").groupBy("c", "x", "y", "head").agg(F.min("k").alias("k")).select("k", "c", "head"), "kept-keys")
+    few, many = kept.where(F.col("c") <= group_rows), kept.where(F.col("c") > group_rows)
+    grouped = held.join(few.select("k"), "k").join(classes.select("cls", "n", "vector"), "cls").select("k", "cls", "n", "vector")
+
+    def flush(key, rows: list) -> Iterator[pa.RecordBatch]:
+        if len(rows) < 2:
+            return
+        label = clusters(np.array([n for _, n, _ in rows]), [v for _, _, v in rows], limit)
+        members: dict[int, list[int]] = {}
+        for (cls, _, _), at in zip(rows, label.tolist(), strict=True):
+            members.setdefault(at, []).append(cls)
+        found = [(cls, min(group)) for group in members.values() if len(group) > 1 for cls in group]
+        if found:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([key] * len(found), pa.int64()), *(pa.array([f[i] for f in found], pa.int64()) for i in range(2))], names=_NEAR.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
+        for batch in batches:
+            for start in range(0, batch.num_rows, 4096):
+                for k, cls, n, vector in zip(*(c.to_pylist() for c in batch.slice(start, 4096).columns), strict=True):
+                    if k != key:
+                        yield from flush(key, rows)
+                        key, rows = k, []
+                    rows.append((cls, n, vector))
+        yield from flush(key, rows)
+
+    clustered = grouped.repartition("k").sortWithinPartitions("k").mapInArrow(run, _NEAR)
+    whole = held.join(many.select("k", "head"), "k").select("k", "cls", "head")
+    return settle(clustered.unionAll(whole), "near")
+
+
+def _chunked(rows: DataFrame, chunk_rows: int, chunk_elements: int) -> DataFrame:
+    """Rows (block, cls, n, ...) with the number of chunks of their block, their chunk, and whether they are among its anchors."""
+    heights = settle(rows.groupBy("block").agg(F.count("*").alias("rows"), F.sum("n").alias("elements")), "heights")
+    chunks = F.greatest(F.ceil(F.col("rows") / chunk_rows), F.ceil(F.col("elements") / chunk_elements)).cast("int")
+    return rows.join(heights, "block").withColumn("chunks", chunks).withColumns({
+        "chunk": F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int"),
+        "anchor": F.pmod(F.xxhash64("cls", F.lit(1)), F.col("rows")) < _ANCHORS}).drop("rows", "elements")
 
 
 def similar_components(
-    df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90, chunk_rows: int = 2000,
+    df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90, chunk_rows: int = 500,
     chunk_elements: int = 2_000_000, broadcast_rows: int = 1_000_000, carry: Sequence[str] = (),
 ) -> DataFrame:
     """key, n_shingles, component_id and the columns to carry, one row per row of `df`.
@@ -311,86 +348,84 @@ def similar_components(
     Rows that repeat a key are documents of their own: equal texts share a component, different ones only by links. An
     empty table gives no rows. Other columns are not read. Sets are compared by 64-bit hashes of their elements.
 
-    1. Equal sets collapse to one representative each, counted in the map tasks first.
-    2. Block keys: linked sets share one, see `block_keys`. Holders that share keys, directly or in a chain, form a block.
-       Nothing of a block is gathered for that, and keys move once.
-    3. In each block an R-tree over count vectors gives the pairs whose summed coordinate minima reach the needed overlap;
-       these are verified on the sets. Pairs already joined are skipped, so a block of n near copies costs about n checks.
-    4. A block above `chunk_rows` documents or `chunk_elements` elements is mostly a chain, held together by passages that
-       unlike documents share. It is replaced by the buckets of its keys; of keys with the same holders, one is enough.
-    5. A bucket that is still above is cut into chunks that share a few anchors. Then the documents outside the bucket's
-       largest component are searched against every chunk, so no link is lost.
+    1. Equal sets collapse to one numbered class each, counted in the map tasks first.
+    2. Block keys: linked sets share one, see `block_keys`. Keys move once, and those with one holder go.
+    3. Among the holders of a key an R-tree over count vectors finds the pairs whose summed coordinate minima reach the overlap they
+       need. That moves vectors, of a fortieth of the text, and leaves few documents besides those that do resemble another.
+    4. Such pairs, directly or in a chain, form a block. Within it an R-tree over count vectors gives the pairs to verify on the
+       sets. Pairs already joined are skipped, so a block of n near copies costs about n checks. A text moves once.
+    5. A block above `chunk_rows` documents or `chunk_elements` elements is cut into chunks that share a few anchors. Then the
+       documents outside the block's largest component are searched against every chunk; or, where they are many, which is a
+       chain of unlike documents, among the clusters of the keys they hold. So no link is lost.
 
     Texts are read again for members of blocks only. Up to `broadcast_rows` member ids, eight bytes each, are broadcast to
     pick those texts before they move.
     """
     limit = Threshold(percent)
-    known = settle(fingerprints(df, [key, *carry], text, size, limit, False).drop("keys").withColumnRenamed(key, "id"), "fingerprints")
-    classes = settle(
-        known.where("n > 0 and id is not null").groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.first("n").alias("n")), "classes")
-
-    def keyed(rows: DataFrame) -> DataFrame:
-        made = fingerprints(rows, key, text, size, limit).where(f"n > 0 and `{key}` is not null")
-        one = made.groupBy("h1", "h2").agg(F.min(key).alias("rep"), F.first("keys").alias("keys"))
-        return one.select("rep", F.explode("keys").alias("k"))
-
-    def only(rows: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-        """The rows with these ids. Ids up to a bound are broadcast; else both sides move, and a large scan gets Spark's own filter."""
-        few = ids.distinct().withColumnRenamed("id", name)
-        return rows.join(F.broadcast(few) if ids.count() <= broadcast_rows else few, name, "left_semi")
-
-    blocks = components(_sharing(keyed(df)), "a", "b")
-
-    sized = settle(
-        blocks.join(classes.select("rep", "h1", "h2", "n"), F.col("node") == F.col("rep"))
-        .select(F.struct(F.lit(0).alias("kind"), F.col("component").alias("at")).alias("block"), "rep", "h1", "h2", "n"), "sized")
-    big = _heights(sized).where((F.col("rows") > chunk_rows) | (F.col("elements") > chunk_elements)).select("block")
-    if big.limit(1).count():
-        chained = sized.join(big, "block", "left_semi")
-        apart = _buckets(keyed(only(df, chained.select(F.col("rep").alias("id")), key)), chained)
-        sized = settle(sized.join(big, "block", "left_anti").unionAll(apart), "sized")
-    heights = settle(_heights(sized), "heights")
-    chunks = F.greatest(F.ceil(F.col("rows") / chunk_rows), F.ceil(F.col("elements") / chunk_elements)).cast("int")
-    members = settle(
-        sized.join(heights, "block").select(
-            "block", F.col("rep").alias("id"), "h1", "h2", chunks.alias("chunks"),
-            F.pmod(F.xxhash64("rep"), chunks).cast("int").alias("chunk"),
-            (F.pmod(F.xxhash64("rep", F.lit(1)), F.col("rows")) < _ANCHORS).alias("anchor")), "members")
+    known = settle(fingerprints(df, [key, *carry], text, size).withColumnRenamed(key, "id"), "fingerprints")
+    one = known.where("n > 0 and id is not null").groupBy("h1", "h2").agg(
+        F.min("id").alias("id"), F.first("n").alias("n"), F.first("vector").alias("vector"))
+    # written with its number, which is what it is from then on
+    classes = settle(one.withColumn("cls", F.monotonically_increasing_id()), "classes")
+    lists = block_key_lists(df, key, text, size, limit).groupBy("h1", "h2").agg(F.first("keys").alias("keys"))
+    keyed = lists.join(classes.select("h1", "h2", "cls"), ["h1", "h2"]).select("cls", F.explode("keys").alias("k"))
+    near = _near(settle(_shared_keys(keyed), "held"), classes, limit, 4 * chunk_rows)
+    blocks = components(near, "cls", "head")
+
+    found = blocks.select(F.struct(F.lit(None).cast("bigint").alias("k"), F.col("component").alias("at")).alias("block"), F.col("node").alias("cls"))
+    members = settle(_chunked(found.join(classes.select("cls", "id", "h1", "h2", "n"), "cls"), chunk_rows, chunk_elements), "members")
     texts = df.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    texts = only(texts, members.select("id"), "id")
+    wanted = members.select("id").distinct()
+    texts = texts.join(F.broadcast(wanted) if wanted.count() <= broadcast_rows else wanted, "id", "left_semi")
     every = F.sequence(F.lit(0), F.col("chunks") - 1)
     own = members.withColumn("c", F.explode(F.when(F.col("anchor"), every).otherwise(F.array("chunk"))))
     links = settle(_search(
-        own.select(F.struct("block", "c").alias("task"), "id", "h1", "h2", F.col("id").alias("label"), F.lit(True).alias("asks"))
+        own.select(F.struct("block", "c").alias("task"), "cls", "id", "h1", "h2", F.col("cls").alias("label"), F.lit(True).alias("asks"))
         .join(texts, "id"), size, limit), "jaccard-links")
 
     large = members.where("chunks > 1")
     if large.limit(1).count():
-        links = settle(links.unionAll(_across(large, links, texts, size, limit, chunk_rows)), "jaccard-links")
-    joined = components(links, "a", "b")
-    of_class = classes.select("h1", "h2", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "h1", "h2", F.coalesce("component", "rep").alias("component"))
+        asked = _asked(large, links, near, chunk_rows, chunk_elements)
+        links = settle(links.unionAll(_across(asked, texts, size, limit, chunk_rows)), "jaccard-links")
+    joined = components(links, "a", "b").withColumnRenamed("node", "cls")
+    of_class = classes.select("h1", "h2", "cls", "id").join(joined, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    least = of_class.groupBy("component").agg(F.min("id").alias("least"))
+    of_class = of_class.join(least, "component").select("h1", "h2", "least")
     has_set = F.col("id").isNotNull() & (F.col("n") > 0)
-    linked = known.where(has_set).drop("keys").join(of_class, ["h1", "h2"])
-    alone = known.where(~has_set).withColumn("component", F.when(F.col("n") == 0, F.col("id")))
-    shape = [F.col("id").alias(key), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), *carry]
+    linked = known.where(has_set).join(of_class, ["h1", "h2"])
+    alone = known.where(~has_set).withColumn("least", F.when(F.col("n") == 0, F.col("id")))
+    shape = [F.col("id").alias(key), F.col("n").alias("n_shingles"), F.col("least").alias("component_id"), *carry]
     return linked.select(shape).unionAll(alone.select(shape))
 
 
-def _across(large: DataFrame, links: DataFrame, texts: DataFrame, size: int, limit: Threshold, chunk_rows: int) -> DataFrame:
-    """Links between chunks of large blocks: everything outside a block's largest component asks every chunk."""
-    joined = components(links, "a", "b").withColumnRenamed("node", "id")
-    labelled = settle(
-        large.join(joined, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component"), "labelled")
+def _asked(large: DataFrame, links: DataFrame, near: DataFrame, chunk_rows: int, chunk_elements: int) -> DataFrame:
+    """The members of large blocks with their label, the component they have by now, and whether they are outside the block's
+    largest one and ask. Where more than a chunk of a block ask, the clusters of keys that hold one of these take the block's place."""
+    joined = components(links, "a", "b").withColumnRenamed("node", "cls")
+    labelled = large.join(joined, "cls", "left").withColumn("label", F.coalesce("component", "cls")).drop("component")
     main = (
         labelled.groupBy("block", "label").agg(F.count("*").alias("c"))
-        .groupBy("block").agg(F.max_by("label", F.struct("c", "label")).alias("main")))
-    asking = labelled.join(main, "block").where("label <> main").drop("main")
+        .groupBy("block").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("rows"), F.max("c").alias("most")))
+    labelled = settle(labelled.join(main, "block").select(
+        "block", "cls", "id", "h1", "h2", "n", "label", (F.col("label") != F.col("main")).alias("asks"), "chunk", "chunks",
+        (F.col("rows") - F.col("most") > chunk_rows).alias("chained")), "labelled")
+    whole, chained = labelled.where("not chained").drop("chained"), labelled.where("chained").drop("chained")
+    if not chained.limit(1).count():
+        return whole
+    held = near.join(chained.drop("block", "chunk", "chunks"), "cls").withColumn("block", F.struct("k", F.col("head").alias("at"))).drop("k", "head")
+    asking = settle(held.groupBy("block").agg(F.bool_or("asks").alias("any")).where("any").select("block"), "asking-clusters")
+    return whole.unionByName(_chunked(held.join(asking, "block"), chunk_rows, chunk_elements).drop("anchor"))
+
+
+def _across(labelled: DataFrame, texts: DataFrame, size: int, limit: Threshold, chunk_rows: int) -> DataFrame:
+    """Links of the asking members of each block with members of its chunks that have another label."""
+    labelled = settle(labelled, "asked")
+    asking = labelled.where("asks")
     numbers = asking.groupBy("block").agg(F.ceil(F.count("*") / chunk_rows).cast("int").alias("parts"))
-    asking = asking.join(numbers, "block").withColumn("part", F.pmod(F.xxhash64("id", F.lit(2)), F.col("parts")).cast("int"))
+    asking = asking.join(numbers, "block").withColumn("part", F.pmod(F.xxhash64("cls", F.lit(2)), F.col("parts")).cast("int"))
     askers = asking.withColumn("c", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     asked = labelled.join(numbers, "block").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     shape = lambda d, c, asks: d.select(
-        F.struct("block", F.col(c).alias("c"), "part").alias("task"), "id", "h1", "h2", "label", F.lit(asks).alias("asks"))
+        F.struct("block", F.col(c).alias("c"), "part").alias("task"), "cls", "id", "h1", "h2", "label", F.lit(asks).alias("asks"))
     rows = shape(askers, "c", True).unionAll(shape(asked, "chunk", False))
     return _search(rows.join(texts, "id"), size, limit)

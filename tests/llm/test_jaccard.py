@@ -70,7 +70,7 @@ def run(spark, rows, size, percent, **options):
 
 
 @pytest.mark.parametrize(("size", "percent", "options"), [
-    (3, 90, {}), (5, 80, {}), (2, 60, {"chunk_rows": 8}), (5, 80, {"chunk_rows": 4, "broadcast_rows": 0})])
+    (3, 90, {}), (5, 80, {}), (2, 60, {"chunk_rows": 8}), (5, 80, {"chunk_rows": 4, "broadcast_rows": 0}), (2, 60, {"chunk_rows": 1})])
 def test_equals_comparison_of_all_pairs(spark, size, percent, options):
     rows = corpus(size * percent)
     assert run(spark, rows, size, percent, **options) == brute(rows, size, percent)
@@ -116,7 +116,7 @@ def test_only_shared_keys_are_left(spark):
         holders.setdefault(k, set()).add(rep)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")
     try:
-        rows = spark.createDataFrame(sorted(set(pairs)), "k bigint, rep bigint")
+        rows = spark.createDataFrame(sorted(set(pairs)), "k bigint, cls bigint")
         got = [tuple(r) for r in jaccard._shared_keys(rows).collect()]
         parts = jaccard._shared_keys(rows).rdd.getNumPartitions()
     finally:
@@ -125,3 +125,55 @@ def test_only_shared_keys_are_left(spark):
     assert len(got) == len(set(got)) and shared <= set(got) <= set(pairs)
     assert len(set(got) - shared) <= 2 * parts
     assert jaccard._shared_keys(rows.where("false")).count() == 0
+
+
+def test_one_id_with_two_texts(spark):
+    """Each text is a document of its own: the near copy of either links with it, whatever the order of the rows."""
+    a, b = (" ".join(f"{c}{i}" for i in range(200)) for c in "ab")
+    rows = [(5, a), (5, b), (8, a + " more"), (9, b + " more"), (5, a), (6, "something else entirely here")]
+    assert brute(rows, 3, 90) == sorted([(5, 198, 5)] * 3 + [(8, 199, 5), (9, 199, 5), (6, 2, 6)], key=str)
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        assert run(spark, rows, 3, 90) == brute(rows, 3, 90)
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_vectors_never_rule_out_a_link(percent):
+    """Linked sets are in one cluster whatever else is there; most unlike sets of like sizes are in none."""
+    rng, limit = np.random.default_rng(percent), jaccard.Threshold(percent)
+    for n in (1, 5, 40, 300, 3000):
+        fresh = lambda k: rng.integers(0, 2 ** 63, k).astype(np.uint64) * np.uint64(2)
+        sets = [np.unique(fresh(n)) for _ in range(30)]
+        pairs = []
+        for _ in range(30):
+            a = int(rng.integers(len(sets)))
+            keep = max(1, int(len(sets[a]) * rng.uniform(0.6, 1)))
+            b = np.unique(np.concatenate([rng.permutation(sets[a])[:keep], fresh(int(rng.integers(0, 1 + n // 4)))]))
+            sets.append(b)
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets[:i]):
+                both = len(np.intersect1d(a, b))
+                if 100 * both >= percent * (len(a) + len(b) - both):
+                    pairs.append((i, j))
+        label = jaccard.clusters(np.array([len(s) for s in sets]), [jaccard.counts(s) for s in sets], limit)
+        assert (pairs or n < 40) and all(label[i] == label[j] for i, j in pairs)
+        if n >= 40 and percent >= 80:
+            assert len(set(label[:30].tolist())) >= 25
+    assert jaccard.counts(np.full(9000, 7, np.uint64)) is None
+    assert len(set(jaccard.clusters(np.array([9000, 9000, 10]), [None, jaccard.counts(sets[0]), None], limit).tolist())) == 2
+
+
+def test_a_large_group_of_near_copies(spark):
+    """Far more copies than a chunk holds, some of them further from the rest, and unlike documents chained by a shared passage."""
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(10_000)}" for _ in range(120)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for _ in range(rng.choice([0, 1, 2, 9])):
+            words[rng.randrange(120)] = f"x{rng.randrange(10_000)}"
+        rows.append((i, " ".join(words)))
+    passage = [f"p{i}" for i in range(40)]
+    rows += [(1000 + i, " ".join(passage + [f"y{i}-{j}" for j in range(rng.randrange(2, 25))])) for i in range(150)]
+    for percent in (80, 90):
+        assert run(spark, rows, 3, percent, chunk_rows=10) == brute(rows, 3, percent)
