@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.llm.rowwise import per_text, shingle_hashes, word_hashes
+from tallyframe.sources.shared import settle
 
 _SHINGLE = 5
 _STEP = 4
-_LARGEST = 4096  #: words of a window; longer items are found by windows of this size
+_SIZES = (8, 12, 16, 20, 28, 36, 48, 60)  #: words of a window that starts at a multiple of the step
+_LONGEST_RUN = _SIZES[-1] + _STEP - 1
 _CHUNK = 1 << 15  #: window starts handled at once
 #: Every byte that is no ASCII letter or digit and begins no other character separates words.
 _TO_SPACE = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
@@ -29,20 +31,42 @@ def weights(found: Sequence[bytes]) -> np.ndarray:
     return 1 + np.minimum(np.fromiter(map(len, found), np.int64, len(found)), 9) // 3
 
 
-def window_size(length: int, percent: int) -> tuple[int, int]:
-    """Step and size of an item's windows: sizes are whole numbers of steps, about a third apart.
+def unbroken_run(weight: np.ndarray, percent: int) -> int:
+    """The number of consecutive words of an item that every region as similar as `percent` holds unchanged somewhere, up to
+    _LONGEST_RUN.
 
-    No region similar enough is shorter than the window. Every occurrence of an item of eleven words or more holds at least
-    two windows that start at a multiple of the step, whatever its place: one at its beginning and one at its end, as the
-    item's windows are kept for `step` offsets at either end.
+    A region loses a share of the item's shingles by weight where words are changed, or gains as much of its own, and it may
+    lose or gain only so much. A cut between two words costs the shingles across it that no earlier cut has cost; or, where
+    both neighbouring shingles are kept but apart, the eight that the region needs for that, of five letters at least. The
+    cheapest cuts that leave no run of r words are found by going through the places in order; r is unbroken if they
+    cost more than the similarity allows.
     """
-    least = -(-length * percent // 100)
-    if length < 11:
-        return 1, max(_SHINGLE, min(least, length - 1))
-    most, steps = min(least, length - 7, _LARGEST) // _STEP, 2
-    while steps + max(1, steps // 3) <= most:
-        steps += max(1, steps // 3)
-    return _STEP, steps * _STEP
+    spans = _spans(weight)
+    words, allowed = len(weight), int(spans.sum()) * (100 - percent)
+    apart = 8 * _SHINGLE * percent
+    until = np.concatenate([[0], np.cumsum(spans)])
+
+    def leaves_none(run: int) -> bool:
+        least = np.zeros(words)  # the cost of the cheapest cuts up to a place, the last one there
+        for place in range(1, words):
+            before = np.arange(max(0, place - run + 1), place)
+            first = np.maximum(before, max(0, place - _SHINGLE + 1))
+            cost = np.minimum(100 * (until[min(place, len(spans))] - until[np.minimum(first, len(spans))]), apart)
+            least[place] = (least[before] + cost).min()
+        return least[max(1, words - run + 1):].min() <= allowed
+
+    low, high = min(_SHINGLE, words), min(words, _LONGEST_RUN)
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (low, middle - 1) if leaves_none(middle) else (middle, high)
+    return low
+
+
+def window_kind(run: int) -> tuple[int, int]:
+    """Step and size of the windows that find an item: one that starts at a multiple of the step, wherever that is, lies inside any
+    run of so many words."""
+    fit = [size for size in _SIZES if size + _STEP - 1 <= run]
+    return (_STEP, fit[-1]) if fit else (1, _SIZES[0] if run >= _SIZES[0] else _SHINGLE)
 
 
 class Votes:
@@ -77,8 +101,8 @@ class Votes:
 class Index:
     """Fingerprints of one window size. Two within the radius agree in one of radius + 1 blocks of bits at least."""
 
-    def __init__(self, prints: np.ndarray, items: np.ndarray, offsets: np.ndarray, radius: int):
-        self.prints, self.items, self.offsets, self.radius = prints, items, offsets, radius
+    def __init__(self, prints: np.ndarray, items: np.ndarray, radius: int):
+        self.prints, self.items, self.radius = prints, items, radius
         edges = np.linspace(0, 64, radius + 2).astype(int)
         self.blocks = []
         for low, high in zip(edges, edges[1:], strict=False):
@@ -159,14 +183,15 @@ def _spans(weight: np.ndarray) -> np.ndarray:
 
 
 class Benchmark:
-    """The items, as words with weights, shingle bags, and window fingerprints by window size.
+    """The items, as words with weights, shingle bags, and window fingerprints by window kind.
 
-    A region as similar as `percent` holds that share of the item's shingles by weight, so as much of the item's windows of
-    shingle size is in the text with equal SimHash: documents with so much of an item are verified, wherever the edits are.
+    Windows are as large as an item allows, see `unbroken_run`, and kept for every place of the item. So a region as similar as
+    `percent` has a window with the fingerprint of one of the item's, wherever its edits are; fingerprints within the radius bring
+    in regions with an edit in every window as well.
     """
 
     def __init__(self, items: Sequence[tuple[int, str | None]], percent: int, radius: int):
-        self.percent, self.items, self.whole, prints, short = percent, [], {}, {}, {}
+        self.percent, self.items, self.whole, prints = percent, [], {}, {}
         for item_id, text in items:
             found = words(text)
             h, w = word_hashes(found), weights(found)
@@ -174,27 +199,15 @@ class Benchmark:
                 if found:
                     self.whole.setdefault(tuple(found), []).append(item_id)
                 continue
-            step, size = window_size(len(found), percent)
-            last = len(found) - size
-            for start in sorted({*range(min(step, last + 1)), *range(max(0, last - step + 1), last + 1)}):
-                end = start + size
-                for window in Votes(h[start:end], w[start:end]).simhashes(step, size):
-                    prints.setdefault((step, size), []).append((window, len(self.items), start))
-            for window in set(Votes(h, w).simhashes(1, _SHINGLE).tolist()):
-                short.setdefault(window, []).append(len(self.items))
+            step, size = window_kind(unbroken_run(w, percent))
+            for start in range(min(step, len(found) - size + 1)):
+                windows = Votes(h[start:], w[start:]).simhashes(step, size)
+                prints.setdefault((step, size), []).append((windows, np.full(len(windows), len(self.items))))
             self.items.append((item_id, Shingled(h, w)))
-        self.totals = np.array([bag.total for _, bag in self.items], np.int64)
-        self.short = np.array(sorted(short), np.uint64)
-        self.holders = np.array([i for window in sorted(short) for i in short[window]], np.int64)
-        self.held = np.concatenate([[0], np.cumsum([len(short[window]) for window in sorted(short)])]).astype(np.int64)
-        bits = min(24, max(16, len(short).bit_length() + 4))
-        self.mask = np.uint64((1 << bits) - 1)
-        self.taken = np.zeros(1 << bits, bool)
-        self.taken[(self.short & self.mask).astype(np.int64)] = True
-        self.index = {
-            kind: Index(np.array([p for p, _, _ in rows], np.uint64), np.array([i for _, i, _ in rows]),
-                        np.array([o for _, _, o in rows]), radius)
-            for kind, rows in sorted(prints.items())}
+        self.index = {}
+        for kind, parts in sorted(prints.items()):
+            found = np.unique(np.stack([np.concatenate([p for p, _ in parts]), np.concatenate([i for _, i in parts]).astype(np.uint64)]), axis=1)
+            self.index[kind] = Index(found[0], found[1].astype(np.int64), radius)
         self.longest = max((size for _, size in self.index), default=_SHINGLE)
 
     def leaks(self, texts: Sequence[str | None]) -> list[list[tuple[int, float, int, int]]]:
@@ -204,7 +217,7 @@ class Benchmark:
         ends = np.cumsum(lengths)
         flat = [w for p in parts for w in p]
         h, w, of = word_hashes(flat), weights(flat), np.repeat(np.arange(len(parts)), lengths)
-        pairs, places_hit, items_hit = set(), [], []
+        pairs = set()
         for chunk in range(0, len(flat) if self.index else 0, _CHUNK):
             stop = min(len(flat), chunk + _CHUNK + self.longest)
             votes = Votes(h[chunk:stop], w[chunk:stop])
@@ -213,26 +226,10 @@ class Benchmark:
                 places = chunk + np.arange(len(windows)) * step
                 inside = np.flatnonzero(of[places] == of[places + size - 1])
                 left, right = index.within(windows[inside])
-                pairs.update(zip(of[places[inside[left]]].tolist(), index.items[right].tolist(), strict=True))
-            windows = votes.simhashes(1, _SHINGLE)[:_CHUNK]
-            at = np.flatnonzero(self.taken[(windows & self.mask).astype(np.int64)])
-            at = at[of[chunk + at] == of[chunk + at + _SHINGLE - 1]]
-            entry = np.minimum(np.searchsorted(self.short, windows[at]), len(self.short) - 1)
-            equal = self.short[entry] == windows[at]
-            at, entry = at[equal], entry[equal]
-            many = self.held[entry + 1] - self.held[entry]
-            inside = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            places_hit.append(np.repeat(chunk + at, many))
-            items_hit.append(self.holders[np.repeat(self.held[entry], many) + inside])
-        if places_hit:
-            place, item = np.concatenate(places_hit), np.concatenate(items_hit)
-            weight = np.concatenate([[0], np.cumsum(w)])
-            both, which = np.unique(of[place] * len(self.items) + item, return_inverse=True)
-            shared = np.bincount(which, weight[place + _SHINGLE] - weight[place], len(both))
-            enough = both[100 * shared >= self.percent * self.totals[both % len(self.items)]]
-            pairs.update(zip((enough // len(self.items)).tolist(), (enough % len(self.items)).tolist(), strict=True))
+                found = np.unique(of[places[inside[left]]] * len(self.items) + index.items[right])
+                pairs.update(found.tolist())
         out = [[] for _ in parts]
-        for text, item in sorted(pairs):
+        for text, item in (divmod(pair, len(self.items)) for pair in sorted(pairs)):
             first, end = int(ends[text] - lengths[text]), int(ends[text])
             item_id, bag = self.items[item]
             best = bag.best_region(h[first:end], w[first:end], self.percent)
@@ -249,6 +246,23 @@ LEAKS = T.StructField("leaks", T.ArrayType(T.StructType([
     T.StructField("first_word", T.LongType()), T.StructField("n_words", T.LongType())])))
 
 
+def _blocks(items: DataFrame, max_bytes: int) -> list[DataFrame]:
+    """The items (i, t) in parts of at most `max_bytes` of text each, dealt by a hash; an item larger than that is a part of its own."""
+    size = F.octet_length("t")
+    total = items.agg(F.sum(size)).first()[0] or 0
+    if total <= max_bytes:
+        return [items]
+    large, parts = items.where(size > max_bytes), -(-2 * total // max_bytes)
+    rest = items.where(size <= max_bytes)
+    while True:
+        block = F.pmod(F.xxhash64("i", "t"), F.lit(parts))
+        if (rest.groupBy(block).agg(F.sum(size).alias("s")).agg(F.max("s")).first()[0] or 0) <= max_bytes:
+            break
+        parts *= 2
+    found = [rest.where(block == n) for n in range(parts)]
+    return found + [large.where((F.col("i") == i) & (F.xxhash64("t") == x)) for i, x in large.select("i", F.xxhash64("t")).distinct().collect()]
+
+
 def find_leaks(
     df: DataFrame, benchmark: DataFrame, key: str | Sequence[str] = "doc_id", text: str = "text", item_key: str = "item_id",
     item_text: str = "text", percent: int = 80, radius: int = 5, max_bytes: int = 32 << 20,
@@ -257,22 +271,39 @@ def find_leaks(
 
     An item of five words or more leaks where a region of a document has a weighted 5-word-shingle similarity of
     `percent` or more with it, and every such item is found. Candidates are documents with a window whose SimHash is within
-    `radius` bits of one of the item's windows, and those with `percent` of the item's weight in five-word windows of equal
-    SimHash, as any region similar enough has. In a candidate every region is compared. Shorter items
+    `radius` bits of one of the item's windows; the windows are of a size that a region similar enough leaves unchanged
+    somewhere. In a candidate every region is compared. Shorter items
     leak into documents of just their words. Words ignore case and punctuation. NULL and empty texts and items have no
     leaks; items without an id are ignored, of repeated ids each text counts; equal documents have equal leaks; an empty
-    benchmark gives empty lists; other columns are not read. Whole texts, every window, no shuffle. The items are the
-    stated query set: each task holds all of them, `max_bytes` of text at most, beyond which the call refuses; a larger
-    benchmark goes in blocks of items, one call each.
+    benchmark gives empty lists; other columns are not read. Whole texts, every window. The items are the
+    stated query set: each task holds at most `max_bytes` of their text. A larger benchmark is taken in blocks, a pass over
+    the documents each, whose few findings are stored and then joined to the documents by the key and a hash of the text.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     items = benchmark.where(F.col(f"`{item_key}`").isNotNull() & F.col(f"`{item_text}`").isNotNull()).select(
         F.col(f"`{item_key}`").cast("bigint").alias("i"), F.col(f"`{item_text}`").cast("string").alias("t"))
-    total = items.agg(F.sum(F.octet_length("t"))).head()[0] or 0
-    if total > max_bytes:
-        raise ValueError(f"{total} bytes of items; split the benchmark into blocks of {max_bytes} and call for each")
+    blocks = _blocks(items, max_bytes)
+    if len(blocks) == 1:
+        return _pass(df, items, keys, text, percent, radius)
+    hashed = df.withColumn("__x", F.xxhash64(f"`{text}`"))
+    found = None
+    for block in blocks:
+        part = settle(_pass(hashed, block, [*keys, "__x"], text, percent, radius).where(F.size("leaks") > 0).distinct(), "leaks")
+        found = part if found is None else found.unionAll(part)
+    renamed = found.select(*(F.col(f"`{k}`").alias(f"__k{n}") for n, k in enumerate(keys)), F.col("__x").alias("__y"), "leaks")
+    merged = renamed.groupBy(*(f"__k{n}" for n in range(len(keys))), "__y").agg(F.array_sort(F.flatten(F.collect_list("leaks"))).alias("leaks"))
+    same = F.col("__x").eqNullSafe(F.col("__y"))
+    for n, k in enumerate(keys):
+        same &= F.col(f"`{k}`").eqNullSafe(F.col(f"__k{n}"))
+    rows = hashed.select(*(F.col(f"`{k}`") for k in keys), "__x")
+    none = F.array().cast(LEAKS.dataType)
+    return rows.join(merged, same, "left").select(*(F.col(f"`{k}`") for k in keys), F.coalesce("leaks", none).alias("leaks"))
+
+
+def _pass(df: DataFrame, items: DataFrame, keys: list[str], text: str, percent: int, radius: int) -> DataFrame:
     sent = df.sparkSession.sparkContext.broadcast(Benchmark(sorted(map(tuple, items.collect())), percent, radius))
 
     def setup():
         return lambda texts: [sent.value.leaks(texts)]
 
-    return per_text(df, key, text, [LEAKS], setup)
+    return per_text(df, keys, text, [LEAKS], setup)
