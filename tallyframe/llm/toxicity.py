@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 
 from tallyframe.llm.labelled import labelled_sample
 from tallyframe.llm.rowwise import REMEMBERED, in_training, per_text
+from tallyframe.sources.shared import settle
 
 _WORD = re.compile(r"[^\W\d_]+")
 _PREFIXES = (4, 5, 6)
@@ -60,16 +62,11 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def choose(rows: list[np.ndarray], y: np.ndarray, size: int, least: int) -> np.ndarray:
-    """The `size` buckets that tell most about the label (log-likelihood ratio), in at least `least` rows; ascending."""
-    if not rows:
-        return np.zeros(0, np.int32)
-    lengths = np.array([len(r) for r in rows])
-    flat, of = np.concatenate(rows), np.repeat(y, lengths)
-    names, inverse = np.unique(flat, return_inverse=True)
-    pos = np.bincount(inverse, of == 1, len(names))
-    neg = np.bincount(inverse, of == 0, len(names))
-    n1, n0 = max(1, (y == 1).sum()), max(1, (y == 0).sum())
+def choose(names: np.ndarray, pos: np.ndarray, neg: np.ndarray, n1: int, n0: int, size: int, least: int) -> np.ndarray:
+    """The `size` buckets that tell most about the label (log-likelihood ratio), in at least `least` rows; ascending.
+
+    `pos` and `neg` count the rows of either label, of `n1` and `n0`, that hold each bucket."""
+    n1, n0 = max(1, n1), max(1, n0)
 
     def part(a, total_a, b, total_b):
         share = (a + b) / (total_a + total_b)
@@ -83,11 +80,10 @@ def choose(rows: list[np.ndarray], y: np.ndarray, size: int, least: int) -> np.n
 
 
 def fit(
-    rows: list[np.ndarray], y: np.ndarray, buckets: int, size: int = 256, factors: int = 8, rounds: int = 500,
-    rate: float = 0.05, decay: float = 1e-5, least: int = 3, seed: int = 7,
+    rows: list[np.ndarray], y: np.ndarray, buckets: int, chosen: np.ndarray, factors: int = 8, rounds: int = 500,
+    rate: float = 0.05, decay: float = 1e-5, seed: int = 7,
 ) -> Machine:
     """Logistic loss, both classes weighted alike, Adam over all rows; the same rows give the same machine."""
-    chosen = choose(rows, y, size, least)
     if not len(chosen) or len(set(y.tolist())) < 2:
         share = (y.sum() + 1) / (len(y) + 2)
         return Machine(buckets, chosen[:0], float(np.log(share / (1 - share))), np.zeros(0), np.zeros((0, factors)))
@@ -116,11 +112,12 @@ def fit(
 
 def train(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text", per_class: int = 4000,
-    buckets: int = 1 << 20, **options,
+    buckets: int = 1 << 20, size: int = 256, least: int = 3, **options,
 ) -> Machine:
-    """Fit on at most `per_class` rows of each label of the training part.
+    """Fit on at most `per_class` rows of each label of the training part, by the `size` buckets that tell most.
 
-    The driver gets the different buckets of those rows' whole texts, four bytes each, and nothing else.
+    Which those are is found from counts made where the rows are. The driver gets three numbers for a bucket in at least `least` rows,
+    of `buckets` at most, and then each row's chosen buckets.
     """
     sample = labelled_sample(docs, labels, label, per_class, key, text)
 
@@ -128,9 +125,30 @@ def train(
         terms = Terms(buckets)
         return lambda texts: [[terms.of(t or "").tobytes() for t in texts]]
 
-    found = per_text(sample, [key, "label"], text, [T.StructField("found", T.BinaryType())], setup)
-    rows = sorted((r["label"], bytes(r["found"])) for r in found.select("label", "found").collect())
-    return fit([np.frombuffer(f, np.int32) for _, f in rows], np.array([label for label, _ in rows], np.float32), buckets, **options)
+    found = settle(per_text(sample, [key, "label"], text, [T.StructField("found", T.BinaryType())], setup).select("label", "found"), "toxic-terms")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((2, buckets), np.int32)
+        for batch in batches:
+            for y, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held[y, np.frombuffer(content, np.int32)] += 1
+        names = np.flatnonzero(held.any(0))
+        yield pa.RecordBatch.from_arrays([pa.array(names.astype(np.int32)), *(pa.array(held[y, names].astype(np.int64)) for y in (1, 0))], ["name", "pos", "neg"])
+
+    counted = found.mapInArrow(count, "name int, pos long, neg long").groupBy("name").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    counted = counted.where(F.col("pos") + F.col("neg") >= least).toArrow()
+    names, pos, neg = (counted.column(i).to_numpy() for i in range(3))
+    order = np.argsort(names)
+    totals = dict(found.groupBy("label").count().collect())
+    chosen = choose(names[order], pos[order].astype(float), neg[order].astype(float), totals.get(1, 0), totals.get(0, 0), size, least)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [np.intersect1d(np.frombuffer(c, np.int32), chosen).tobytes() for c in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["label", "found"])
+
+    rows = sorted((r["label"], bytes(r["found"])) for r in found.mapInArrow(keep, found.schema).collect())
+    return fit([np.frombuffer(f, np.int32) for _, f in rows], np.array([y for y, _ in rows], np.float32), buckets, chosen, **options)
 
 
 def score_toxicity(
