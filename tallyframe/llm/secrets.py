@@ -50,7 +50,7 @@ def candidates(
 
     A run is parted at its first '=' that is no padding: the name belongs to the neighbours of the value, and is a candidate
     itself if it is long enough; '=' alone is none. Words are separated by white space; neighbours are three words before
-    and one after, and the word's own text around the token. Every run of every whole text counts; NULL texts have none.
+    and one after, and the word's own text before the token, from the second last token on. Every run of every whole text counts; NULL texts have none.
     """
     name = f"{_PLAIN}{{{least},}}+(?==+{_PLAIN})"
     value = f"(?!=)(?:(?<==)|(?!{_PLAIN}*+=++{_PLAIN})){_TOKEN}{{{least},}}"
@@ -80,9 +80,11 @@ def candidates(
     parted = one.select(
         *key, "__path", "word_no", "after", F.regexp_extract_all("__text", F.lit(run), 1).alias("__gaps"),
         F.regexp_extract_all("__text", F.lit(run), 2).alias("__tokens"))
-    up_to = lambda i: F.array_join(F.zip_with(F.slice("__gaps", 1, i), F.slice("__tokens", 1, i), lambda g, t: F.concat(g, t)), "")
+    # the last two tokens before with what is around them, so that a word of many tokens costs as much as its length
+    last = lambda pieces, i: F.slice(pieces, F.greatest(i - 1, F.lit(1)), F.least(i, F.lit(2)))
+    up_to = lambda i: F.array_join(F.zip_with(last("__gaps", i), last("__tokens", i), lambda g, t: F.concat(g, t)), "")
     tokens = F.transform("__tokens", lambda t, i: F.struct(
-        t.alias("token"), F.translate(F.concat(up_to(i), F.get("__gaps", i)), "\n", " ").alias("before")))
+        t.alias("token"), F.translate(F.concat(F.when(i > 0, up_to(i)).otherwise(""), F.get("__gaps", i)), "\n", " ").alias("before")))
     return parted.select(*key, "__path", "word_no", "after", F.posexplode_outer(tokens).alias("token_no", "x")).where("x is not null").select(
         *key, "word_no", F.col("token_no").cast("bigint").alias("token_no"), "x.token", "x.before", "after", F.col("__path").alias("path"))
 
@@ -127,21 +129,75 @@ def with_features(found: DataFrame) -> DataFrame:
     return found.withColumns({name: values[name].cast("double") for name in FEATURES})
 
 
-def label_findings(found: DataFrame) -> DataFrame:
-    """`label` for findings whose nature is plain: 1 for an announced, assigned, mixed token or one of a known form, that is no
-    made-up value; 0 for one without announcement, or with letters or digits only and no announcement, or made up, or
-    announced as harmless, or a short word or number after a colon and a space, as in prose; NULL for the rest. Of a token that is assigned to an announcing name, or of a known form, only
-    that name and the token itself can tell that it is harmless or made up, not the words around. This is the labelling
-    the query trains on, as the tables hold no reviewed findings."""
-    mixed = (F.col("digits") > 0.1) & (F.col("digits") < 0.95) & (F.col("covered") < 0.5)
-    name = F.regexp_extract("before", f"([A-Za-z0-9_.-]*){_ASSIGNS}$", 1)
-    own = F.concat_ws(" ", F.when(F.col("named") == 1, name), "token")
-    real = ~F.lower(own).rlike(MADE_UP)
-    named = (F.col("named") == 1) & ~F.lower(name).rlike(HARMLESS) & real & mixed
-    plain = (F.col("announced") == 0) & (F.col("assigned") == 0) | (F.col("made_up") == 1) | (F.col("harmless") == 1)
-    plain |= F.col("before").rlike(":\\s$") & F.col("token").rlike("^(?:[A-Za-z]?[a-z-]{1,14}|[0-9]{1,15})$")
-    secret = named | (F.col("known_form") == 1) & real | (F.col("announced") == 1) & (F.col("assigned") == 1) & mixed & ~plain
-    return found.withColumn("label", F.when(secret, 1).when(plain, 0))
+#: What findings are made of. Names that a secret is assigned to, how, and what stands around.
+_NAMES = (
+    "token,api_key,API_KEY,secret,SECRET_KEY,password,passwd,db_password,DB_PASSWORD,access_token,auth_token,client_secret,private_key,"
+    "credential,github_token,PWD,apikey,signature,TOKEN,user.password").split(",")
+_STYLES = [' = "', "=", ": ", ': "', '="', "='", ' => "', '": "', '":"', " := '", " = ", " == \""]
+_BEFORE = ["some text before ", "the config says ", "export ", "set ", "- ", '{"', "see https://www.example.org/page?id=4&", "in the log ", "", "# ", "and then "]
+_AFTER = ['" and after it', "", " next", " in the log", '",', "' then", "&x=1 there", ";", " words follow"]
+_PROSE = ["the word ", "see the ", "found ", "and ", "with a ", "push with ", "", "it says ", "in ", "about the "]
+#: Words announcing what only looks like a secret, and values that nobody means.
+_LOOK_ALIKES = [
+    "commit ", "commit: ", "commit=", "sha1 ", "sha1: ", "SHA-256 ", "sha256=", "checksum ", "checksum: ", "md5 ", "md5=", "digest = ", "revision ",
+    "hash = ", "hash: ", "version ", "image ", "file "]
+_IDENTIFIERS = ["id ", "id=", "uuid=", "request ", 'guid: "', "session id ", "trace: ", ""]
+_NUMBERS = ["card ", "call ", "phone ", "isbn ", "order no. ", "account: ", "number ", "on ", "at ", "page "]
+_NOBODYS = [
+    "example1234567890abcdef", "your_token_goes_here", "changeme", "xxxxxxxxxxxxxxxxxxxx", "REDACTED-REDACTED", "dummy-value-0001", "test1234",
+    "placeholder_value_here", "your-api-key-123456", "sample0123456789sample", "00000000000000000000", "fakefakefake1234"]
+_WORDS = ["required", "string", "value", "optional", "the_users_own", "getAuthToken", "os.environ", "mustBeAtLeast", "hidden", "never", "none", "expired",
+          "validated", "of_the_matter", "incorrect", "forgotten"]
+_OPAQUE = ["data:image/png;base64,", "https://cdn.example.org/a/", "cache-", "the blob ", "looks like ", "etag ", "/static/", "path/to/", "x", "font:"]
+
+
+def made_findings(spark, per_kind: int = 600) -> DataFrame:
+    """Findings of a known nature: `token`, `before`, `after`, `path` and `label`, `per_kind` texts of each kind.
+
+    Secrets: hexadecimal, base64 and short mixed values assigned to names, bearer headers, and keys of issuers' forms with or without a
+    name. No secrets: hashes of commits and files, identifiers, long words, card and telephone numbers, placeholders and words
+    assigned to the same names, and opaque runs that nothing announces. Values come from digests, texts from lists, so the same
+    findings are made each time; candidates and neighbours are taken from the texts as from any other.
+    """
+    def pick(values: Sequence[str], salt: int) -> Column:
+        return F.element_at(F.array(*map(F.lit, values)), F.pmod(F.xxhash64("id", "kind", F.lit(salt)), F.lit(len(values))).cast("int") + 1)
+
+    digest = lambda n: F.sha2(F.concat_ws(":", "kind", "id", F.lit(n)), 256)
+    length = lambda least, most: F.pmod(F.xxhash64("id", "kind", F.lit(99)), F.lit(most - least + 1)).cast("int") + least
+    cut = lambda of, least, most: F.substring(of, F.lit(1), length(least, most))
+    start = lambda of, n: F.substring(of, 1, n)
+    kinds = [
+        (1, "named", F.col("hexadecimal")), (1, "named", cut("mixed", 16, 60)), (1, "named", cut("raw", 20, 44)),
+        (1, "named", F.concat(cut("low", 4, 11), start("decimal", 2))), (1, "bearer", cut("mixed", 30, 60)), (1, "prose", F.col("form")),
+        (1, "named", F.col("form")), (0, "alike", F.col("hexadecimal")), (0, "identified", F.col("uuid")), (0, "prose", F.col("long_word")),
+        (0, "assigned", F.col("part")), (0, "numbered", start("decimal", 16)), (0, "named", F.col("nobodys")), (0, "named", F.col("word")),
+        (0, "opaque", F.col("hexadecimal")), (0, "opaque", cut("raw", 20, 44))]
+    base = spark.range(per_kind * len(kinds)).select((F.col("id") % per_kind).alias("id"), F.floor(F.col("id") / per_kind).cast("int").alias("kind"))
+    values = base.select(
+        "id", "kind", digest(1).alias("digest"), F.translate(F.concat(F.base64(F.unhex(digest(1))), F.base64(F.unhex(digest(2)))), "+/=\r\n", "xY").alias("mixed"),
+        F.translate(F.base64(F.unhex(digest(3))), "\r\n", "").alias("raw"), F.translate(F.concat(digest(4), digest(5)), "abcdef", "").alias("decimal"),
+        F.concat_ws("-", *(F.substring(digest(6), a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))).alias("uuid"),
+        F.array(*(pick(DICTIONARY, s) for s in range(20, 25))).alias("parts"), pick(DICTIONARY, 9).alias("part"), pick(_NOBODYS, 4).alias("nobodys"),
+        pick(_WORDS, 4).alias("word"), pick(_BEFORE, 1).alias("lead"), pick(_NAMES, 2).alias("name"), pick(_STYLES, 3).alias("style"),
+        pick(_PROSE, 1).alias("prose"), pick(_LOOK_ALIKES, 2).alias("alike"), pick(_IDENTIFIERS, 2).alias("identified"), pick(_NUMBERS, 2).alias("numbered"),
+        pick(_OPAQUE, 2).alias("opaque"), pick(["=", ": ", " = "], 2).alias("sign"), pick(_AFTER, 5).alias("rest"),
+        pick(["src/a.py", "conf/app.env", "docs/x.md", "", "tests/b.json"], 6).alias("source"))
+    values = settle(values, "made-values")
+    form = F.element_at(F.array(
+        F.concat(F.lit("AKIA"), start(F.upper("mixed"), 16)), F.concat(F.lit("ghp_"), start("mixed", 36)),
+        F.concat(F.lit("xoxb-1"), start("decimal", 10), F.lit("-"), start("mixed", 24)), F.concat(F.lit("sk-7"), start("mixed", 40)),
+        F.concat(F.lit("AIza"), start("mixed", 35)), F.concat(F.lit("sk_live_"), start("mixed", 24))), F.pmod(F.xxhash64("id", F.lit(7)), F.lit(6)).cast("int") + 1)
+    values = values.withColumns({
+        "hexadecimal": F.element_at(F.array(F.col("digest"), start("digest", 40), start("digest", 32)), F.pmod("id", F.lit(3)).cast("int") + 1),
+        "low": F.lower("mixed"), "form": form, "named": F.concat("lead", "name", "style"), "bearer": F.concat("lead", F.lit("Authorization: Bearer ")),
+        "long_word": F.when(F.col("id") % 2 == 0, F.array_join("parts", "")).otherwise(F.array_join(F.slice("parts", 1, 4), "_"))})
+    values = values.withColumn("assigned", F.concat("prose", "long_word", "sign")).withColumns(
+        {name: F.concat("prose", name) for name in ("alike", "identified", "numbered", "opaque")})
+    of = lambda index, made: F.element_at(F.array(*(made(k[index]) for k in kinds)), F.col("kind") + 1)
+    texts = values.select("id", "kind", of(0, F.lit).alias("label"), of(1, F.col).alias("lead"), of(2, lambda c: c).alias("value"), "rest", "source")
+    texts = settle(texts.withColumn("text", F.concat("lead", "value", "rest")), "made-texts")
+    found = candidates(texts, ("id", "kind", "label", "value"))
+    return found.where("startswith(value, token) or startswith(token, value)").select("token", "before", "after", "path", "label")
 
 
 @dataclass
@@ -160,7 +216,11 @@ class Scanner:
         return judged.withColumn("probability", vector_to_array("__probability")[1]).drop("__features", "__raw", "__probability", "__class")
 
 
-def train(labelled: DataFrame, per_class: int = 4000, trees: int = 30, depth: int = 6, seed: int = 5) -> Scanner:
+#: What a row of the sample needs.
+_SAMPLED = ("token", "before", "after", "label", *FEATURES)
+
+
+def train(labelled: DataFrame, per_class: int = 6000, trees: int = 40, depth: int = 9, seed: int = 5) -> Scanner:
     """Fit on at most `per_class` findings of each label, taken in the order of a hash; rows with a NULL label are left out.
 
     `labelled` has FEATURES and `label`. The sample is written as one sorted file, so that the forest does not depend on
@@ -180,21 +240,25 @@ def train(labelled: DataFrame, per_class: int = 4000, trees: int = 30, depth: in
 
 
 def scan(
-    df: DataFrame, key: str = "doc_id", text: str = "text", path: str = "source", threshold: float = 0.5, per_class: int = 4000,
-    carry: Sequence[str] = (),
+    df: DataFrame, key: str = "doc_id", text: str = "text", path: str = "source", threshold: float = 0.5, per_class: int = 6000,
+    carry: Sequence[str] = (), reviewed: DataFrame | None = None,
 ) -> DataFrame:
     """A row per candidate: key, carry, word_no, token_no, token, probability and is_secret.
 
     Candidates and their features are stored once, a narrow table, and read for the two classes of the sample and for
-    judging. Candidates of the training part of the ids, labelled by `label_findings`, train the forest, which then judges every
-    candidate of every whole text; one that is plainly a secret by that labelling has probability 1, whatever the sample
-    held. NULL and empty texts have no candidates; rows without a key are judged and not learnt
+    judging. The forest learns from labelled findings (`token`, `before`, `after`, `path`, `label` 0 or 1): reviewed ones of the
+    user's, or `made_findings`. To these come up to a quarter of `per_class` candidates of the training part of the ids that nothing
+    announces and no issuer's form fits, as what the texts hold besides secrets. The forest alone judges every candidate of
+    every whole text. NULL and empty texts have no candidates; rows without a key are judged and not learnt
     from; repeated rows give repeated findings; ties in the sample go by token and neighbours; a table without
-    candidates, or without one class of them, needs no forest; other columns are not read.
+    candidates gives no rows; other columns are not read.
     """
-    featured = settle(label_findings(with_features(candidates(df, [key, *carry], text, path))), "candidates")
-    scanner = train(featured.where(in_training(F.col(key))), per_class)
-    judged = scanner.judge(featured).withColumn("probability", F.when(F.col("label") == 1, 1.0).otherwise(F.col("probability")))
+    featured = settle(with_features(candidates(df, [key, *carry], text, path)), "candidates")
+    labelled = with_features(made_findings(df.sparkSession) if reviewed is None else reviewed).select(*_SAMPLED)
+    order = F.xxhash64("token", "before", "after")
+    plain = featured.where(in_training(F.col(key)) & F.expr("announced = 0 and assigned = 0 and known_form = 0"))
+    plain = plain.orderBy(order, "token", "before", "after").limit(per_class // 4).withColumn("label", F.lit(0)).select(*_SAMPLED)
+    judged = train(labelled.unionByName(plain), per_class).judge(featured)
     return judged.select(
         key, *carry, "word_no", "token_no", "token", "probability", (F.col("probability") >= threshold).alias("is_secret"))
 
