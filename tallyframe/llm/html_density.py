@@ -14,9 +14,11 @@ from tallyframe.llm.rowwise import per_text
 #: Elements without an end tag.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is never main text.
-DROPPED = frozenset(
-    "script style noscript template head title nav header footer aside form button select option textarea iframe object "
-    "svg canvas dialog menu".split())
+DROPPED = frozenset("script style noscript template head title button select option textarea iframe object svg canvas".split())
+#: Elements that hold page furniture, unless nearly all of the page's text is in them.
+BESIDES = frozenset("nav header footer aside form dialog menu".split())
+#: What a head may hold; anything else ends it.
+HEAD = frozenset("title meta link base script style noscript template basefont bgsound".split())
 #: Elements that begin and end a block of text.
 BLOCKS = frozenset(
     "html body address article blockquote center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hr li main ol p pre "
@@ -40,10 +42,10 @@ _CONTAINERS = frozenset("html body article section main div ul ol dl table tbody
 class Node:
     """An element: its children (nodes and texts in page order) and, once measured, its counts and densities."""
 
-    __slots__ = ("tag", "children", "furniture", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "children", "furniture", "doubtful", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, furniture: bool = False):
-        self.tag, self.children, self.furniture = tag, [], furniture
+    def __init__(self, tag: str, furniture: bool = False, doubtful: bool = False):
+        self.tag, self.children, self.furniture, self.doubtful = tag, [], furniture, doubtful
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
@@ -63,49 +65,89 @@ def _names_furniture(attributes: Sequence[tuple[str, str | None]]) -> bool:
 
 
 class _Tree(HTMLParser):
-    """Builds the tree; unclosed and stray tags are closed as browsers would in the cases that matter for text."""
+    """Builds the tree; unclosed and stray tags are closed as browsers would in the cases that matter for text.
 
-    def __init__(self, names: bool = True):
+    Each tag's open elements and the open containers are known by their depth, so a tag costs the same however deep it comes.
+    """
+
+    def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.names = names
         self.root = Node("html")
         self.open = [self.root]
+        self.depths: dict[str, list[int]] = {}
+        self.containers = [0]
 
     def handle_starttag(self, tag, attrs):
         if tag in ("html", "body"):
+            self._end_head()
             return
+        if self.open[-1].tag == "head" and tag not in HEAD:
+            self._end_head()
         if tag in BLOCKS:
             self._close(("p",))
         if tag in _CLOSES:
             self._close(_CLOSES[tag])
-        node = Node(tag, tag in DROPPED or self.names and _names_furniture(attrs))
+        node = Node(tag, tag in DROPPED, tag in BESIDES or _names_furniture(attrs))
         self.open[-1].children.append(node)
         if tag not in VOID:
+            self.depths.setdefault(tag, []).append(len(self.open))
+            if tag in _CONTAINERS:
+                self.containers.append(len(self.open))
             self.open.append(node)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID and len(self.open) > 1 and self.open[-1].tag == tag:
-            self.open.pop()
+            self._cut(len(self.open) - 1)
 
     def handle_endtag(self, tag):
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                del self.open[i:]
-                return
-            if tag not in BLOCKS and tag not in DROPPED and self.open[i].tag in _CONTAINERS:
-                return  # a stray inline end tag closes no container
+        depths = self.depths.get(tag)
+        # a stray inline end tag closes no container
+        if depths and (tag in BLOCKS or tag in DROPPED or tag in BESIDES or depths[-1] >= self.containers[-1]):
+            self._cut(depths[-1])
 
     def handle_data(self, data):
+        if self.open[-1].tag == "head" and data.strip():
+            self._end_head()
         self.open[-1].children.append(data)
 
+    def _end_head(self):
+        if self.depths.get("head"):
+            self._cut(self.depths["head"][0])
+
     def _close(self, tags):
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag in tags:
-                del self.open[i:]
-                return
-            if self.open[i].tag in _CONTAINERS:
-                return
+        depth = max((self.depths[t][-1] for t in tags if self.depths.get(t)), default=0)
+        if depth and depth >= self.containers[-1]:
+            self._cut(depth)
+
+    def _cut(self, depth):
+        while len(self.open) > depth:
+            node = self.open.pop()
+            self.depths[node.tag].pop()
+            if node.tag in _CONTAINERS:
+                self.containers.pop()
+
+
+#: A doubtful element is kept with this share of the page's characters outside of links; one doubtful by its tag with so many at least.
+_KEPT_CHARS, _KEPT_SHARE = 140, 0.75
+
+
+def settle_doubts(root: Node) -> None:
+    """Decide which elements that tag, class, id or role make doubtful are furniture: those that hold no more than three quarters of
+    the page's text outside of links. An article inside an element named after something else, or after an unclosed one, stays."""
+    order, waiting = [], [root]
+    while waiting:
+        node = waiting.pop()
+        order.append(node)
+        waiting += [c for c in node.children if isinstance(c, Node) and not c.furniture]
+    plain = {}
+    for node in reversed(order):
+        plain[id(node)] = 0 if node.tag == "a" else sum(
+            _size(c) if isinstance(c, str) else plain.get(id(c), 0) for c in node.children)
+    for node in order:
+        if node.doubtful:
+            least = max(_KEPT_CHARS if node.tag in BESIDES else 1, _KEPT_SHARE * plain[id(root)])
+            node.furniture = plain[id(node)] < least
 
 
 def _size(text: str) -> int:
@@ -234,24 +276,22 @@ def main_text(html: str | None) -> str:
     """The main text of a page; empty if there is none."""
     if not html:
         return ""
-    for names in (True, False):  # a page that is all furniture by its names is none
-        tree = _Tree(names)
-        tree.feed(html)
-        tree.close()
-        nodes = measure(tree.root)
-        node = best_subtree(nodes)
-        if node:
-            return "\n".join(blocks(*article(nodes, node)))
-    return ""
+    tree = _Tree()
+    tree.feed(html)
+    tree.close()
+    settle_doubts(tree.root)
+    nodes = measure(tree.root)
+    node = best_subtree(nodes)
+    return "\n".join(blocks(*article(nodes, node))) if node else ""
 
 
 def extract_main_text(df: DataFrame, key: str | Sequence[str] = ("page_id", "url"), html: str = "html") -> DataFrame:
     """One row per row of `df`: the key columns, `text` and `n_chars` (its code points).
 
     Every DOM node gets its characters per tag, adjusted for links; the densities of a node's children are summed; the
-    subtree of the largest sum is the main text, with the parts beside it that are as dense, see `article`. Scripts, styles, forms, menus, headers, footers, asides and elements
-    whose class, id or role names furniture are taken out before, unless by such names nothing is left. Character references are decoded, white space within
-    a block becomes one space, blocks are joined by one \\n; nothing is cut. NULL, empty and text-less pages give an
+    subtree of the largest sum is the main text, with the parts beside it that are as dense, see `article`. Scripts and styles are
+    taken out before, and so are forms, menus, headers, footers, asides and elements whose class, id or role names furniture, unless they
+    hold nearly all of the page's text, see `settle_doubts`. Character references are decoded, white space within a block becomes one space, blocks are joined by one \\n; nothing is cut. NULL, empty and text-less pages give an
     empty text. Unclosed tags and truncated pages are read as far as they go; equal rows give equal texts; an empty
     table gives no rows; other columns are not read. One pass, no shuffle.
     """

@@ -6,6 +6,8 @@ import base64
 import gzip
 import hashlib
 import random
+import re
+from collections import Counter
 
 import public_tokenizers
 import pytest
@@ -254,3 +256,62 @@ def test_urls_in_spark(spark):
     found = urls.judge_urls(table(spark, rows, "page_id long, url string, host string"), rules=URL_RULES).collect()
     assert sorted(((r["page_id"], r["verdict"], r["soft_hits"]) for r in found), key=str) == sorted(
         [(1, "block", 2), (1, "block", 2), (None, "allow", 0), (2, "allow", 1)], key=str)
+
+
+PARAGRAPHS = [f"Paragraph {i} says a number of things about the matter at hand, one after the other, in plain words." for i in range(5)]
+ARTICLE = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+MENU = "<div><a href=/a>One</a> <a href=/b>Two</a> <a href=/c>Three</a> <a href=/d>Four</a></div>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<html><head><title>A title</title><meta charset=utf-8><body>{MENU}<div>{ARTICLE}</div></body></html>",  # </head> is optional
+    f"<head><title>A title</title><link rel=x><div>{ARTICLE}</div>",
+    f"<head><script>var x = '<p>no';</script><style>p {{}}</style>{ARTICLE}",
+    f"<html><title>A title</title>{MENU}<div class='social-science'>{ARTICLE}</div></html>",
+    f"{MENU}<div class='article-with-comments'>{ARTICLE}</div><footer>All rights reserved</footer>",
+    f"{MENU}<div id=content class='sponsored'><div class='share-post popup'>{ARTICLE}</div></div>",
+    f"{MENU}<aside><p>An aside nobody closed<div>{ARTICLE}</div>",
+    f"<form action=/>{MENU}<div>{ARTICLE}</div><input name=q><button>Go</button></form>",
+    f"<header><h1></h1>{ARTICLE}",
+])
+def test_ordinary_pages_keep_their_article(page):
+    text = html_density.main_text(page)
+    assert text.split("\n")[-5:] == PARAGRAPHS and "title" not in text and "rights" not in text and "One Two" not in text
+
+
+def test_furniture_of_any_share_short_of_most_goes():
+    comments = "".join(f"<div class=comment><p>{p} I think so too.</p></div>" for p in PARAGRAPHS * 2)
+    page = f"<nav>{MENU}</nav><article>{ARTICLE}</article><section class=comments>{comments}</section><footer>{PARAGRAPHS[0]}</footer>"
+    assert html_density.main_text(page) == "\n".join(PARAGRAPHS)
+    assert html_density.main_text(f"<nav>{MENU}</nav><footer>All rights reserved</footer>") == ""
+    assert html_density.main_text("<head><title>Nothing else</title>") == ""
+
+
+def test_very_deep_pages():
+    """Stray, unclosed and deep tags cost the same at any depth."""
+    import time
+    began = time.time()
+    for page in ("<div>" * 32_000 + "</span></b></i>" * 32_000 + ARTICLE, "<b>" * 32_000 + "</i>" * 32_000 + ARTICLE,
+                 "<i><div>" + "<b>" * 32_000 + "</i>" * 32_000 + ARTICLE, "<ul><li>" * 16_000 + "<li>" * 16_000 + ARTICLE):
+        assert html_density.main_text(page).split("\n")[-5:] == PARAGRAPHS
+    assert time.time() - began < 20
+
+
+def plain_measures(text):
+    """The base measures as the contract words them, one by one."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = Counter(tuple(words[i:i + 3]) for i in range(len(words) - 2))
+    repeated = {i + j for i in range(len(words) - 2) for j in range(3) if windows[tuple(words[i:i + 3])] >= 2}
+    doubled = sum(x in lines[:i] for i, x in enumerate(lines))
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), doubled, len(repeated)
+
+
+def test_base_measures_equal_plain_ones(spark):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    docs += [(-1, None), (-2, ""), (-3, " \n\t\n"), (-4, "a b c a b c\n\na b c\nx \x0b y　z w # $%|"), (-5, "same\nsame \nsame\n\nsame"), (-6, "一二 三\r\n四<>")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for r, (_, text) in zip(line_rules.clean_lines(df).orderBy("doc_id").collect(), sorted(docs), strict=True):
+        n, chars, symbols, doubled, repeated = plain_measures(text or "")
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == (n, chars, symbols, doubled, repeated)
+        assert r["base_failed"] == (n < 50 or 100 * repeated > 50 * n) and not (r["base_failed"] and r["kept"])
