@@ -7,15 +7,19 @@ columns of the same names as the stages' own, which travel inside one struct.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm import byte_bpe, decontaminate, jaccard, secrets, toxicity
-from tallyframe.sources.shared import settle
+from tallyframe.sources.shared import settle, settled_scope, shared_path
 
 #: Words of a shingle and per cent of similarity from which two documents are near duplicates.
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
+#: Rows of two numbers that are sent to every task at most.
+BROADCAST_ROWS = 1_000_000
 
 
 def _whole(docs: DataFrame) -> DataFrame:
@@ -30,19 +34,34 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return scored.where("predicted = 0").select("__row.*")
 
 
+def _stored(spark: SparkSession, made: Callable[[], DataFrame], label: str) -> DataFrame:
+    """The rows that a function makes, stored; what it stored on the way goes."""
+    path = shared_path(spark, label)
+    with settled_scope(spark):
+        made().write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _without(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Rows of `docs` whose doc_id and __h are not (left_anti) or are (left_semi) listed. Up to BROADCAST_ROWS listed rows, of two numbers
+    each, go to the documents; beyond that both sides move."""
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, ["doc_id", "__h"], how)
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents that with the smallest id stays, once if its row repeats.
 
     Documents without words are linked with nothing and stay, as do rows without an id.
     """
     marked = docs.withColumn("__h", F.xxhash64("text"))
-    classes = settle(jaccard.similar_components(marked, size=SHINGLE_WORDS, percent=SIMILAR_PERCENT, carry=("__h",)), "classes")
+    classes = _stored(spark, lambda: jaccard.similar_components(
+        marked, size=SHINGLE_WORDS, percent=SIMILAR_PERCENT, carry=("__h",)), "classes")
     linked = classes.where("n_shingles > 0 and doc_id is not null")
-    gone = linked.where("doc_id <> component_id").select("doc_id", "__h").distinct()
+    gone = settle(linked.where("doc_id <> component_id").select("doc_id", "__h").distinct(), "gone")
     again = settle(linked.groupBy("doc_id", "__h").count().where("count > 1").drop("count"), "again")
-    kept = marked.join(settle(gone, "gone"), ["doc_id", "__h"], "left_anti")
-    single = kept.join(again, ["doc_id", "__h"], "left_anti")
-    repeated = kept.join(again, ["doc_id", "__h"], "left_semi").dropDuplicates(["doc_id", "__h"])
+    kept = _without(marked, gone, "left_anti")
+    single = _without(kept, again, "left_anti")
+    repeated = _without(kept, again, "left_semi").dropDuplicates(["doc_id", "__h"])
     return single.select(docs.columns).unionByName(repeated.select(docs.columns))
 
 
