@@ -13,8 +13,8 @@ def labelled_sample(
 ) -> DataFrame:
     """key, text and label of at most `per_class` rows of each label, from the training part of the ids only.
 
-    Rows are taken in the order of a hash of the id. Rows with a NULL id, text or label are left out; of an id with
-    several labels the smallest counts, and of one with several rows the text of the smallest hash, so that the bound holds for rows.
+    Ids are taken in the order of a hash. Rows with a NULL id, text or label are left out; of an id with several labels the
+    smallest counts. A sampled id that repeats in `docs` has all its rows here: see `one_per_id` for the bound on rows.
     """
     known = (
         labels.where(in_training(F.col(key)) & F.col(label).isNotNull() & F.col(key).isNotNull())
@@ -25,5 +25,10 @@ def labelled_sample(
         picked = part if picked is None else picked.unionAll(part)
     rows = docs.where(in_training(F.col(key)) & F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("text"))
     # the sample has at most 2 * per_class rows of two numbers, a bound that does not depend on the data
-    found = rows.join(F.broadcast(picked), "k").groupBy("k", "label").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("first"))
-    return found.select(F.col("k").alias(key), F.col("first.text").alias(text), "label")
+    return rows.join(F.broadcast(picked), "k").select(F.col("k").alias(key), F.col("text").alias(text), "label")
+
+
+def one_per_id(rows: DataFrame, key: str, *columns: str) -> DataFrame:
+    """label and the columns of one row for each id, the smallest by them; for what is left of the texts, which is small."""
+    least = rows.groupBy(key, "label").agg(F.min(F.struct(*columns)).alias("least"))
+    return least.select("label", "least.*")

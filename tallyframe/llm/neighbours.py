@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.llm.labelled import labelled_sample
+from tallyframe.llm.labelled import labelled_sample, one_per_id
 from tallyframe.llm.rowwise import REMEMBERED, in_training, per_text
 
 _PIECE = re.compile(r"\w+|[^\w\s]+")
@@ -141,7 +141,7 @@ def train(
         return work
 
     fields = [T.StructField("names", T.BinaryType()), T.StructField("counts", T.BinaryType())]
-    found = per_text(sample, [key, "label"], text, fields, setup).select("label", "names", "counts").collect()
+    found = one_per_id(per_text(sample, [key, "label"], text, fields, setup), key, "names", "counts").collect()
     found = sorted((r["label"], bytes(r["names"]), bytes(r["counts"])) for r in found)
     rows = [(np.frombuffer(n, np.int32).astype(np.int64), np.frombuffer(c, np.float32)) for _, n, c in found]
     return fit(rows, np.array([y for y, _, _ in found], np.float64), buckets, **options)

@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.llm.labelled import labelled_sample
-from tallyframe.llm.rowwise import REMEMBERED, in_training, per_text
+from tallyframe.llm.labelled import labelled_sample, one_per_id
+from tallyframe.llm.rowwise import in_training, per_text
 from tallyframe.sources.shared import settle
 
 _WORD = re.compile(r"[^\W\d_]+")
 _PREFIXES = (4, 5, 6)
+_REMEMBERED = 100_000  #: words a task remembers the buckets of, about 350 bytes each
 
 
 class Terms(dict):
@@ -29,7 +30,7 @@ class Terms(dict):
         self.buckets = buckets
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= REMEMBERED:
+        if len(self) >= _REMEMBERED:
             self.clear()
         parts = [word] + [f"{word[:n]}*" for n in _PREFIXES if len(word) > n]
         value = self[word] = tuple(xxhash.xxh3_64_intdigest(p.encode()) % self.buckets for p in parts)
@@ -117,7 +118,7 @@ def train(
     """Fit on at most `per_class` rows of each label of the training part, by the `size` buckets that tell most.
 
     Which those are is found from counts made where the rows are. The driver gets three numbers for a bucket in at least `least` rows,
-    of `buckets` at most, and then each row's chosen buckets.
+    of `buckets` at most, and then the chosen buckets of one row for each id.
     """
     sample = labelled_sample(docs, labels, label, per_class, key, text)
 
@@ -125,29 +126,32 @@ def train(
         terms = Terms(buckets)
         return lambda texts: [[terms.of(t or "").tobytes() for t in texts]]
 
-    found = settle(per_text(sample, [key, "label"], text, [T.StructField("found", T.BinaryType())], setup).select("label", "found"), "toxic-terms")
+    found = settle(per_text(sample, [key, "label"], text, [T.StructField("found", T.BinaryType())], setup), "toxic-terms")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros((2, buckets), np.int32)
         for batch in batches:
-            for y, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for y, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):  # label, found
                 held[y, np.frombuffer(content, np.int32)] += 1
         names = np.flatnonzero(held.any(0))
         yield pa.RecordBatch.from_arrays([pa.array(names.astype(np.int32)), *(pa.array(held[y, names].astype(np.int64)) for y in (1, 0))], ["name", "pos", "neg"])
 
-    counted = found.mapInArrow(count, "name int, pos long, neg long").groupBy("name").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    counted = found.select("label", "found").mapInArrow(count, "name int, pos long, neg long").groupBy("name").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     counted = counted.where(F.col("pos") + F.col("neg") >= least).toArrow()
-    names, pos, neg = (counted.column(i).to_numpy() for i in range(3))
-    order = np.argsort(names)
+    buckets_held, pos, neg = (counted.column(i).to_numpy() for i in range(3))
+    order = np.argsort(buckets_held)
     totals = dict(found.groupBy("label").count().collect())
-    chosen = choose(names[order], pos[order].astype(float), neg[order].astype(float), totals.get(1, 0), totals.get(0, 0), size, least)
+    chosen = choose(buckets_held[order], pos[order].astype(float), neg[order].astype(float), totals.get(1, 0), totals.get(0, 0), size, least)
+
+    names = found.columns
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [np.intersect1d(np.frombuffer(c, np.int32), chosen).tobytes() for c in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["label", "found"])
+            rows = [np.intersect1d(np.frombuffer(c, np.int32), chosen).tobytes() for c in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.binary())], names)
 
-    rows = sorted((r["label"], bytes(r["found"])) for r in found.mapInArrow(keep, found.schema).collect())
+    kept = one_per_id(found.mapInArrow(keep, found.schema), key, "found")
+    rows = sorted((r["label"], bytes(r["found"])) for r in kept.collect())
     return fit([np.frombuffer(f, np.int32) for _, f in rows], np.array([y for y, _ in rows], np.float32), buckets, chosen, **options)
 
 

@@ -356,11 +356,15 @@ def test_votes_equal_a_plain_sort():
 
 
 def test_sample_holds_one_row_an_id(spark):
-    """An id that repeats very often is one row of the sample, whatever its rows hold."""
-    from tallyframe.llm.labelled import labelled_sample
+    """An id that repeats very often is one row of what the driver gets, the same one whatever the partitions."""
+    from tallyframe.llm.labelled import labelled_sample, one_per_id
     docs = spark.range(5000).selectExpr("if(id < 4900, 7, id) as doc_id", "if(id % 3 = 0, null, concat('text ', id % 50)) as text")
     labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as quality").distinct()
-    sample = labelled_sample(docs, labels, "quality", 20).collect()
-    assert len({r["doc_id"] for r in sample}) == len(sample) <= 40 and all(r["text"] is not None for r in sample)
-    again = labelled_sample(docs.repartition(7), labels, "quality", 20).collect()
-    assert sorted(map(tuple, again)) == sorted(map(tuple, sample)) and any(r["doc_id"] == 7 for r in labelled_sample(docs, labels, "quality", 5000).collect())
+    sample = one_per_id(labelled_sample(docs, labels, "quality", 20), "doc_id", "text").collect()
+    assert 20 < len(sample) <= 40 and all(r["text"] is not None for r in sample)
+    again = one_per_id(labelled_sample(docs.repartition(7), labels, "quality", 20), "doc_id", "text").collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, sample))
+    whole = one_per_id(labelled_sample(docs, labels, "quality", 5000), "doc_id", "text")
+    assert whole.count() < 110 < labelled_sample(docs, labels, "quality", 5000).count()
+    space = neighbours.train(docs, labels)
+    assert len(space.labels) == whole.count()
