@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.llm.components import components
-from tallyframe.llm.rowwise import ascii_words, mixed, per_text, shingle_hashes, word_hashes
+from tallyframe.llm.rowwise import ascii_words, bounded_batches, mixed, per_text, shingle_hashes, word_hashes
 from tallyframe.sources.shared import settle
 
 _LEAST_BITS = 5  #: of the number of groups of a count vector
@@ -254,7 +254,7 @@ def _search(rows: DataFrame, size: int, limit: Threshold) -> DataFrame:
                         held[r["cls"]] = [s, r["label"], r["asks"]]
         yield from flush(held)
 
-    return rows.repartition("task").sortWithinPartitions("task").mapInArrow(run, _LINKS)
+    return bounded_batches(rows.repartition("task").sortWithinPartitions("task")).mapInArrow(run, _LINKS)
 
 
 def _shared_keys(keyed: DataFrame) -> DataFrame:

@@ -13,9 +13,11 @@ import public_tokenizers
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyframe.llm import byte_bpe, html_density, line_rules, urls, warc
 from tallyframe.llm.queries import URL_RULES
+from tallyframe.llm.rowwise import BATCH_BYTES, per_text
 from tallyframe.sources.shared import shared_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -315,3 +317,22 @@ def test_base_measures_equal_plain_ones(spark):
         n, chars, symbols, doubled, repeated = plain_measures(text or "")
         assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == (n, chars, symbols, doubled, repeated)
         assert r["base_failed"] == (n < 50 or 100 * repeated > 50 * n) and not (r["base_failed"] and r["kept"])
+
+
+def test_a_task_gets_few_long_texts_at_once(spark):
+    """Batches end by bytes, so long texts do not come by the thousand; every row comes; a limit of the session's own stays."""
+    limit, length = "spark.sql.execution.arrow.maxBytesPerBatch", 100_000
+    docs = spark.range(0, 300, 1, 1).selectExpr("id as doc_id", f"repeat('abcde ', {length // 6}) as text")
+
+    def sizes():
+        setup = lambda: lambda texts: [[sum(map(len, texts))] * len(texts)]
+        return [r["b"] for r in per_text(docs, "doc_id", "text", [T.StructField("b", T.LongType())], setup).collect()]
+
+    spark.conf.unset(limit)
+    try:
+        found = sizes()
+        assert len(found) == 300 and max(found) <= BATCH_BYTES + length
+        spark.conf.set(limit, "1000000")
+        assert max(sizes()) <= 1_000_000 + length and spark.conf.get(limit) == "1000000"
+    finally:
+        spark.conf.unset(limit)
