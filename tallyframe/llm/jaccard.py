@@ -400,20 +400,28 @@ def similar_components(
 
 def _asked(large: DataFrame, links: DataFrame, near: DataFrame, chunk_rows: int, chunk_elements: int) -> DataFrame:
     """The members of large blocks with their label, the component they have by now, and whether they are outside the block's
-    largest one and ask. Where more than a chunk of a block ask, the clusters of keys that hold one of these take the block's place."""
+    largest one and ask. Where more than a chunk of a block ask, the clusters of keys that hold one of these take the block's place,
+    if that moves fewer rows: a member is in a cluster for each of its keys, whereas a block is searched once for each chunk that asks."""
     joined = components(links, "a", "b").withColumnRenamed("node", "cls")
-    labelled = large.join(joined, "cls", "left").withColumn("label", F.coalesce("component", "cls")).drop("component")
+    keys = near.groupBy("cls").agg(F.count("*").alias("keys"))
+    labelled = settle(
+        large.join(joined, "cls", "left").withColumn("label", F.coalesce("component", "cls")).drop("component").join(keys, "cls", "left"), "joined")
+    order = F.struct("c", "label")
     main = (
-        labelled.groupBy("block", "label").agg(F.count("*").alias("c"))
-        .groupBy("block").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("rows"), F.max("c").alias("most")))
-    labelled = settle(labelled.join(main, "block").select(
+        labelled.groupBy("block", "label", "chunks").agg(F.count("*").alias("c"), F.sum("keys").alias("keys"))
+        .groupBy("block", "chunks").agg(
+            F.max_by("label", order).alias("main"), F.sum("c").alias("rows"), (F.sum("c") - F.max("c")).alias("askers"),
+            F.sum("keys").alias("keys"), (F.sum("keys") - F.max_by("keys", order)).alias("asking_keys")))
+    moved = F.col("askers") * F.col("chunks") + F.col("rows") * F.ceil(F.col("askers") / chunk_rows)
+    chained = (F.col("askers") > chunk_rows) & (moved > F.col("keys") + F.col("asking_keys"))
+    labelled = settle(labelled.drop("chunks", "keys").join(main, "block").select(
         "block", "cls", "id", "h1", "h2", "n", "label", (F.col("label") != F.col("main")).alias("asks"), "chunk", "chunks",
-        (F.col("rows") - F.col("most") > chunk_rows).alias("chained")), "labelled")
+        chained.alias("chained")), "labelled")
     whole, chained = labelled.where("not chained").drop("chained"), labelled.where("chained").drop("chained")
     if not chained.limit(1).count():
         return whole
     held = near.join(chained.drop("block", "chunk", "chunks"), "cls").withColumn("block", F.struct("k", F.col("head").alias("at"))).drop("k", "head")
-    asking = settle(held.groupBy("block").agg(F.bool_or("asks").alias("any")).where("any").select("block"), "asking-clusters")
+    asking = settle(held.groupBy("block").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("block"), "asking-clusters")
     return whole.unionByName(_chunked(held.join(asking, "block"), chunk_rows, chunk_elements).drop("anchor"))
 
 

@@ -177,3 +177,20 @@ def test_a_large_group_of_near_copies(spark):
     rows += [(1000 + i, " ".join(passage + [f"y{i}-{j}" for j in range(rng.randrange(2, 25))])) for i in range(150)]
     for percent in (80, 90):
         assert run(spark, rows, 3, percent, chunk_rows=10) == brute(rows, 3, percent)
+
+
+def test_a_block_is_searched_by_keys_only_where_that_moves_fewer_rows(spark, monkeypatch):
+    """Two families of near copies, too unlike to link, in one block: near copies share many keys, and do not move once for each."""
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(300)]
+    other = base[:262] + [f"v{i}" for i in range(38)]
+    rows = []
+    for i in range(90):
+        words = list(base if i % 3 else other)
+        for _ in range(rng.randrange(8)):
+            words[rng.randrange(200)] = f"x{rng.randrange(10_000)}"
+        rows.append((i, " ".join(words)))
+    searched, search = [], jaccard._search
+    monkeypatch.setattr(jaccard, "_search", lambda rows, *rest: searched.append(rows.count()) or search(rows, *rest))
+    assert run(spark, rows, 3, 80, chunk_rows=10) == brute(rows, 3, 80)
+    assert len(searched) == 2 and searched[1] <= 30 * 9 + 90 * 3
