@@ -150,6 +150,7 @@ def test_vectors_never_rule_out_a_link(percent):
             keep = max(1, int(len(sets[a]) * rng.uniform(0.6, 1)))
             b = np.unique(np.concatenate([rng.permutation(sets[a])[:keep], fresh(int(rng.integers(0, 1 + n // 4)))]))
             sets.append(b)
+        sets.append(sets[0][1:] if n >= 40 else sets[0])  # one pair that links whatever was drawn
         for i, a in enumerate(sets):
             for j, b in enumerate(sets[:i]):
                 both = len(np.intersect1d(a, b))
