@@ -20,6 +20,8 @@ from tallyframe.sources.shared import settle, settled_scope, shared_path
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 #: Rows of two numbers that are sent to every task at most.
 BROADCAST_ROWS = 1_000_000
+#: Parts of words whose ids a task of the encoding remembers. Its worker serves later stages too and keeps most of that memory.
+REMEMBERED_PARTS = 50_000
 
 
 def _whole(docs: DataFrame) -> DataFrame:
@@ -84,7 +86,8 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids and the digests of the ids and of the bytes decoded from them."""
-    return byte_bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return byte_bpe.encode_documents(
+        docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, remembered=REMEMBERED_PARTS)
 
 
 STAGES = [

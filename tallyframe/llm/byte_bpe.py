@@ -70,9 +70,10 @@ def serialised_model(tokens: Sequence[bytes]) -> bytes:
 
 
 class ByteBpe:
-    """Encodes and decodes with such a model; `pattern` splits a text before the merges."""
+    """Encodes and decodes with such a model; `pattern` splits a text before the merges, the ids of `remembered` parts are kept."""
 
-    def __init__(self, model: bytes, pattern: str):
+    def __init__(self, model: bytes, pattern: str, remembered: int = REMEMBERED):
+        self.remembered = remembered
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.pattern = regex.compile(pattern)
         self.to_characters = dict(enumerate(byte_characters()))
@@ -91,10 +92,10 @@ class ByteBpe:
         self.known.update((parts[i], tuple(x)) for i, x in zip(merged, ids, strict=True))
 
     def encode_all(self, texts: Sequence[str]) -> Iterator[list[int]]:
-        """The ids of each text; `known` never holds more than REMEMBERED parts and those of one text."""
+        """The ids of each text; `known` never holds more than `remembered` parts and those of one text."""
         for text in texts:
             parts = self.pattern.findall(text)
-            if len(self.known) > REMEMBERED:
+            if len(self.known) > self.remembered:
                 self.known.clear()
             new = set(parts).difference(self.known)
             if new:
@@ -110,14 +111,15 @@ class ByteBpe:
 
 def encode_documents(
     df: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text", with_ids: bool = True,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """One row per row of `df`: key, n_tokens, ids, ids_sha256 and decoded_sha256 (of the bytes decoded from the ids).
 
     Whole texts; each match of `pattern` is encoded by itself, without special tokens. The digest of the ids is over the
     decimal ids joined by one space. NULL and empty texts have no tokens. Equal rows are encoded alike; an empty table
     gives no rows; other columns are not read. The vocabulary file is read once on the driver and sent to the tasks as
-    a serialised model; its size is that of the file, whatever the data. `with_ids=False` leaves `ids` NULL. One pass,
-    no shuffle.
+    a serialised model; its size is that of the file, whatever the data. `with_ids=False` leaves `ids` NULL. A task
+    remembers the ids of `remembered` parts, about 300 bytes each, and encodes more often with fewer. One pass, no shuffle.
     """
     model = df.sparkSession.sparkContext.broadcast(serialised_model(read_ranks(vocabulary)))
     fields = [
@@ -125,7 +127,7 @@ def encode_documents(
         T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
 
     def setup():
-        coder = ByteBpe(model.value, pattern)
+        coder = ByteBpe(model.value, pattern, remembered)
 
         def work(texts):
             rows = []

@@ -108,6 +108,28 @@ def test_components_of_chains_and_hubs(spark):
     assert components(spark.createDataFrame([], "a long, b long"), "a", "b").collect() == []
 
 
+def test_few_links_take_few_tasks(spark):
+    """Small rounds are not dealt over every shuffle partition but in the joins; a long chain beside a hub comes out whole."""
+    context, partitions = spark.sparkContext, 90
+    settings = {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    links = [(i, i + 1) for i in range(400)] + [(1000, 1000 + i) for i in range(1, 900)]
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        context.setJobGroup("few links", "tasks of components")
+        found = components(spark.createDataFrame(links, "a long, b long"), "a", "b")
+        assert dict(found.collect()) == {i: 0 for i in range(401)} | {1000 + i: 1000 for i in range(900)}
+        tracker = context.statusTracker()
+        stages = {s for job in tracker.getJobIdsForGroup("few links") for s in tracker.getJobInfo(job).stageIds}
+        tasks = [info.numTasks for info in map(tracker.getStageInfo, stages) if info]
+        assert sum(n >= partitions for n in tasks) <= 0.1 * len(tasks)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_only_shared_keys_are_left(spark):
     rng = np.random.default_rng(5)
     pairs = [(int(k), int(r)) for k, r in zip(rng.integers(0, 4000, 9000), rng.integers(0, 300, 9000))] + [(-7, r) for r in range(2500)]

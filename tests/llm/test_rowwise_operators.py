@@ -9,6 +9,7 @@ import random
 import re
 from collections import Counter
 
+import corpus_pipeline
 import public_tokenizers
 import pytest
 import tiktoken
@@ -168,6 +169,23 @@ def test_bpe_random_characters():
         assert coder.encode(text) == reference.encode_ordinary(text)
 
 
+def test_bpe_remembers_as_many_parts_as_asked(spark, monkeypatch):
+    """Unlike words by the ten thousand do not stay with a worker, and are encoded as by a fresh coder; the pipeline asks for few."""
+    model = byte_bpe.serialised_model(byte_bpe.read_ranks(VOCABULARY))
+    coder = byte_bpe.ByteBpe(model, public_tokenizers.PATTERN, remembered=5_000)
+    fresh, most = byte_bpe.ByteBpe(model, public_tokenizers.PATTERN), 0
+    for start in range(0, 30_000, 500):
+        text = " ".join(f"w{i}x" for i in range(start, start + 500))
+        ids = coder.encode(text)
+        most = max(most, len(coder.known))
+        assert ids == fresh.encode(text) and coder.decode(ids) == text.encode()
+    assert most <= 7_000 and len(fresh.known) >= 30_000
+    asked = []
+    monkeypatch.setattr(byte_bpe, "encode_documents", lambda *a, **options: asked.append(options["remembered"]))
+    corpus_pipeline.encoding_stage(spark, None, "")
+    assert asked == [50_000]
+
+
 GOOD = "The quick report was read by everyone in the small office on that day. It held up well."
 
 
